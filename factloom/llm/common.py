@@ -100,3 +100,37 @@ def batches(rows: Iterator[dict], schema: pa.Schema, size: int = 2000) -> Iterat
 
 def long_list(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+
+
+def bitmap_of(df: DataFrame, column: str, bits: int = 26) -> np.ndarray:
+    """A membership bitmap of a long column with 2**bits bits, whatever the input: ``may_hold`` never
+    misses a value, and the share of others that it lets through is at most values / bits."""
+    from pyspark.sql import functions as F
+
+    slot = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
+    words = df.select((F.shiftright(slot, 6)).alias("w"), F.pmod(slot, F.lit(64)).alias("b")).distinct()
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, cast(b as int))")).alias("v")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def may_hold(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values (int64) the bitmap may hold; the hash is Spark's xxhash64 of a long."""
+    bits = len(bitmap).bit_length() + 5
+    slot = spark_hash(values.view(np.uint64)) >> np.uint64(64 - bits)
+    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def spark_hash(x: np.ndarray) -> np.ndarray:
+    """xxhash64 of longs with Spark's seed 42 (the public XXH64 definition for 8 bytes)."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def left(v, r):
+        return (v << np.uint64(r)) | (v >> np.uint64(64 - r))
+
+    h = np.uint64((42 + int(p5) + 8) % (1 << 64)) ^ (left(x * p2, 31) * p1)
+    h = left(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))

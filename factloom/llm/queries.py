@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import orc_tokens, packing, quality, token_counts, urls
+from factloom.llm import metric_join, orc_tokens, packing, quality, token_counts, urls
 from factloom.llm.common import read_table, scratch_path
 
 
@@ -24,6 +24,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_orc_tokens": op2_orc_tokens,
     "op4_token_counts": op4_token_counts,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_url_filters": op10_url_filters,
