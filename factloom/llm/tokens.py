@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Chunks that a worker keeps before it starts anew, about 200 bytes each; longer chunks are not kept.
-KEEP = 1_000_000
+KEEP = 400_000
 LONGEST = 64
 #: Chunks that are encoded as one text.
 TOGETHER = 256
