@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import metric_join, orc_tokens, packing, quality, token_counts, urls
+from factloom.llm import line_dedup, metric_join, orc_tokens, packing, quality, token_counts, urls
 from factloom.llm.common import read_table, scratch_path
 
 
@@ -20,6 +20,10 @@ def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.token_digest(spark, path, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(read_table(spark, sf_dir, "documents")).drop("t")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -42,6 +46,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_orc_tokens": op2_orc_tokens,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
