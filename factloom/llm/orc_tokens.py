@@ -51,7 +51,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     (
         encode_documents(ordered, tokenizer, end_id)
-        .write.option("compression", "zstd")
+        .write.option("compression", "snappy")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.create.index", "true")

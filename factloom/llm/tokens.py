@@ -8,6 +8,7 @@ worker encodes a chunk once and keeps its ids, up to a fixed number of chunks.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -15,13 +16,21 @@ import re
 import numpy as np
 
 #: Chunks that a worker keeps before it starts anew, about 200 bytes each; longer chunks are not kept.
-KEEP = 400_000
+KEEP = 300_000
+#: The same for chunks that are plain words, most of them shorter.
+WORDS = 900_000
 LONGEST = 64
 #: Chunks that are encoded as one text.
 TOGETHER = 256
+MARK = "\x01"
 #: A blank after a character that surely isn't white space.
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) ")
 
+#: A plain word and what closes it, where lowering is the same in all libraries.
+PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: The split of files that drop white space, mark word ends and keep letter runs whole (a fixed value).
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -45,16 +54,36 @@ def byte_lengths(tokenizer) -> np.ndarray | None:
     return out
 
 
+def word_tokenizer(tokenizer):
+    """For a file that drops white space and lowers letters: a tokenizer with its model for plain lower
+    words between blanks, and which ids end a word; else none."""
+    told = json.loads(tokenizer.to_str())
+    steps = [n["type"] for n in (told["normalizer"] or {}).get("normalizers", ())]
+    splits = (told["pre_tokenizer"] or {}).get("pretokenizers", ())
+    pattern = splits[0].get("pattern", {}).get("Regex") if splits else None
+    end = told["model"].get("end_of_word_suffix")
+    if steps != ["NFC", "Replace", "Lowercase"] or pattern != LETTER_RUNS or not end:
+        return None
+    told |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, splits[1]]}}
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
+    return type(tokenizer).from_str(json.dumps(told)), ends
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        gc.set_threshold(200_000, 50, 100)  # the chunks hold no cycles
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.lengths = byte_lengths(self.tokenizer)
+        self.words = word_tokenizer(self.tokenizer)
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -62,6 +91,8 @@ class ChunkEncoder:
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk; where tokens keep all bytes, of many chunks at once."""
+        if self.lengths is None and self.words:
+            return self.encode_words(chunks)
         if self.lengths is None or len(chunks) < 2:
             return self.plain(chunks)
         out = []
@@ -73,6 +104,27 @@ class ChunkEncoder:
             out += [joined[a:b] for a, b in zip(at, at[1:], strict=False)]
         return out
 
+    def encode_joined(self, words: list[str]) -> list[bytes]:
+        """The ids of lower words of Latin-1 letters, many at once and without the file's normalizer."""
+        out: list[bytes] = []
+        tokenizer, ends = self.words
+        for i in range(0, len(words), TOGETHER):
+            group = words[i : i + TOGETHER]
+            ids = np.asarray(tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            at, flat = [0, *(4 * (np.flatnonzero(ends[ids]) + 1)).tolist()], ids.tobytes()
+            out += [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
+        return out
+
+    def encode_words(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that begin with a blank, many of them a plain word and what closes it."""
+        match = PLAIN.fullmatch
+        found = [(m[1].lower(), m[2]) if (m := match(c, 1)) else (None, c) for c in chunks]
+        words = list({w for w, _ in found if w})
+        ids = dict(zip(words, self.encode_joined(words), strict=True))
+        rest = list({p for _, p in found if p})
+        more = dict(zip(rest, self.plain(rest), strict=True)) | {"": b""}
+        return [ids[w] + more[p] if w else more[p] for w, p in found]
+
     def split(self, text: str) -> list[str]:
         """The chunks; all but the first and those that begin with a line feed follow a blank."""
         if self.lengths is None:  # white space is dropped, letters are lowered
@@ -82,6 +134,67 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        return self.encode_spaced(texts) if self.words or self.lengths is not None else self.encode_cut(texts)
+
+    def spaced_chunks(self, text: str) -> list[str] | None:
+        """Chunks with full stops and commas before white space apart; none where that may not be exact.
+        ``MARK`` begins a chunk that follows the one before at once."""
+        if not text:
+            return []
+        try:
+            text.encode("latin-1")  # where lowering and letters are the same in all libraries
+        except UnicodeEncodeError:
+            return None
+        if self.lengths is None:
+            spaced = f" {text} ".replace("\n", " ").replace(". ", " . ").replace(", ", " , ").lower()
+            return None if any(p in spaced for p in (" . . ", " . , ", " , . ", " , , ")) else spaced.split(" ")
+        if MARK in text:
+            return None
+        spaced = f"{MARK}{text} ".replace("\n", " \n").replace(". ", f" {MARK}. ").replace(", ", f" {MARK}, ")
+        return None if f"{MARK}. {MARK}" in spaced or f"{MARK}, {MARK}" in spaced else spaced[:-1].split(" ")
+
+    def encode_spaced(self, texts: list[str | None]) -> list[bytes]:
+        """Full stops and commas before white space are chunks of their own, so far fewer chunks differ.
+        That is exact unless they follow another symbol; such texts are cut at blanks only."""
+        chunks, cut, new = [], set(), set()
+        for i, t in enumerate(texts):
+            parts = self.spaced_chunks(t or "")
+            if parts is None:
+                cut.add(i)
+            chunks.append(parts or [])
+            new.update(chunks[-1])
+        dropped = self.lengths is None
+        if len(self.spaced) + len(new) > WORDS:
+            self.spaced = {}
+        if dropped:
+            self.spaced[""] = b""
+        new = {c for c in new if c not in self.spaced}
+        alone = {".", ","} if dropped else {f"{MARK}.", f"{MARK},"}
+        odd = {c for c in new if not c[-1:].isalnum()} - alone
+        if odd:
+            cut.update(i for i, parts in enumerate(chunks) if not odd.isdisjoint(parts))
+        order = [c for c in new if c not in odd]
+        if dropped:
+            plain = [c for c in order if c.isalpha()]
+            self.spaced.update(zip(plain, self.encode_joined(plain), strict=True))
+            rest = [c for c in order if c not in self.spaced]
+            self.spaced.update(zip(rest, self.plain(rest), strict=True))
+        else:
+            first = [c for c in order if c[0] == MARK]
+            self.spaced.update(zip(first, self.plain([c[1:] for c in first]), strict=True))
+            rest = [c for c in order if c[0] != MARK]
+            self.spaced.update(zip(rest, self.encode_chunks([c if c[0] == "\n" else " " + c for c in rest]), strict=True))
+        get = self.spaced.__getitem__
+        others = sorted(cut)
+        own = dict(zip(others, self.encode_cut([texts[i] for i in others]), strict=True)) if others else {}
+        out = [own[i] if i in own else b"".join(map(get, parts)) for i, parts in enumerate(chunks)]
+        for c in order:
+            if len(c) > LONGEST:
+                del self.spaced[c]
+        return out
+
+    def encode_cut(self, texts: list[str | None]) -> list[bytes]:
+        """Texts as chunks between blanks."""
         chunks = [self.split(t) if t else [""] for t in texts]
         new: set[str] = set()
         for parts in chunks:
@@ -102,7 +215,7 @@ class ChunkEncoder:
         firsts = self.plain([parts[0] for parts in chunks])
         for t, parts, first in zip(texts, chunks, firsts, strict=True):
             if odd and not odd.isdisjoint(parts) or not dropped and parts[0][-1:].isspace():
-                out.append(b"".join(self.plain([p if not i else " " + p for i, p in enumerate(CUT.split(t))])))
+                out.append(b"".join(self.plain([p if not i else " " + p for i, p in enumerate(CUT.split(t or ""))])))
             else:
                 out.append(first + b"".join(map(get, parts[1:])))
         for c in order:
