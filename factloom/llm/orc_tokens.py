@@ -34,8 +34,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
         enc, pos = encoder(tokenizer), 0
         end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for big in found:
-            for at in range(0, big.num_rows, 500):
-                b = big.slice(at, 500)
+            for at in range(0, big.num_rows, 1500):
+                b = big.slice(at, 1500)
                 ids = [x + end for x in enc.encode(texts_of(b))]
                 offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
                 flat = np.frombuffer(b"".join(ids), "<i4")

@@ -21,7 +21,7 @@ KEEP = 300_000
 WORDS = 900_000
 LONGEST = 64
 #: Chunks that are encoded as one text.
-TOGETHER = 256
+TOGETHER = 4096
 MARK = "\x01"
 #: A blank after a character that surely isn't white space.
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) ")
