@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import line_dedup, metric_join, orc_tokens, packing, quality, token_counts, urls
+from factloom.llm import ctw, decontaminate, line_dedup, metric_join, orc_tokens, packing, quality, token_counts, toxicity, urls
 from factloom.llm.common import read_table, scratch_path
 
 
@@ -14,6 +14,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = orc_tokens.write_tokens(docs, scratch_path(spark, "tokens"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -36,21 +40,32 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
+def op9_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_orc_tokens": op2_orc_tokens,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_context_tree_weighting": op7_context_tree_weighting,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_toxicity_severity": op9_toxicity_severity,
     "op10_url_filters": op10_url_filters,
 }
 
