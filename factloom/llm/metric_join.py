@@ -60,8 +60,9 @@ def point_key(found: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(d, np.int64).tolist())
 
 
-def text_key(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns, t (the text's hash) and the text."""
+    return docs.select(*columns, F.xxhash64("text").alias("t"), "text")
 
 
 # ---------------------------------------------------------------- candidates
@@ -80,8 +81,8 @@ def frequent_shingles(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
             return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n, pa.int64())], names=["h", "n"])
 
         for b in found:
-            for t in texts_of(b):
-                if t and (k := text_key(t)) not in seen:
+            for k, t in zip(b.column(0).to_pylist(), texts_of(b), strict=True):
+                if t and k not in seen:
                     seen.add(k)
                     parts.append(shingle_set(t))
                     size += len(parts[-1])
@@ -91,7 +92,7 @@ def frequent_shingles(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
         if parts:
             yield told()
 
-    rows = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 16")
+    rows = keyed(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 16")
     rows = cut(rows.select("h", F.floor(F.log2("n")).cast("int").alias("step")), "frequent")
     total, least = 0, 64
     for r in rows.groupBy("step").count().orderBy(F.desc("step")).collect():  # at most 64 rows
@@ -125,26 +126,24 @@ def point_rows(docs: DataFrame, shared) -> DataFrame:
         known: dict[int, tuple] = {}
         for b in found:
             out, prefixes = [], []
-            for t in texts_of(b):
-                k = text_key(t) if t else None
+            for k, t in zip(b.column(1).to_pylist(), texts_of(b), strict=True):
                 if k in known:
                     out.append(known[k])
                     prefixes.append(None)
                     continue
                 s = shingle_set(t)
-                row = (len(s), *point_key(s), k) if len(s) else (0, None, None, None)
+                row = (len(s), *point_key(s), k) if len(s) else (0, None, None, k)
                 out.append(row)
                 prefixes.append(prefix_of(s, shared.value) if len(s) else None)
-                if k is not None:
-                    if len(known) > 500_000:
-                        known.clear()
-                    known[k] = row
+                if len(known) > 500_000:
+                    known.clear()
+                known[k] = row
             cols = [pa.array([r[i] for r in out], pa.int64()) for i in range(4)]
             sizes = [0 if p is None else len(p) for p in prefixes]
             flat = np.concatenate([p for p in prefixes if p is not None] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([b.column(0), *cols, long_list(flat, np.cumsum([0, *sizes]), pa.int64())], names=["doc_id", "n", "f1", "f2", "t", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, f1 long, f2 long, t long, prefix array<long>")
+    return keyed(docs, "doc_id").mapInArrow(run, f"doc_id {kind}, n long, f1 long, f2 long, t long, prefix array<long>")
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
@@ -180,10 +179,9 @@ def region_points(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in found:
-            texts = [t for t in texts_of(b) if t]
-            keys = np.array([text_key(t) for t in texts], np.int64)
+            keys = b.column(0).to_numpy()
             out = []
-            for t, k, hit in zip(texts, keys.tolist(), may_hold(shared.value, keys).tolist(), strict=True):
+            for t, k, hit in zip(texts_of(b), keys.tolist(), may_hold(shared.value, keys).tolist(), strict=True):
                 if hit and k not in seen:
                     seen.add(k)
                     s = shingle_set(t)
@@ -194,7 +192,7 @@ def region_points(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                 sets = long_list(np.concatenate([r[4] for r in out]), np.cumsum([0, *(r[1] for r in out)]), pa.int64())
                 yield pa.RecordBatch.from_arrays([*cols, sets], names=["t", "n", "f1", "f2", "s"])
 
-    return docs.select("text").mapInArrow(run, "t long, n long, f1 long, f2 long, s array<long>")
+    return keyed(docs).mapInArrow(run, "t long, n long, f1 long, f2 long, s array<long>")
 
 
 # ---------------------------------------------------------------- inside a region
@@ -441,13 +439,13 @@ def link_points(points: DataFrame, leaf: int = LEAF) -> DataFrame:
     return out
 
 
-def jaccard_components(docs: DataFrame, leaf: int = LEAF, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: a row for each row of ``docs``."""
+def labelled_points(docs: DataFrame, leaf: int, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, n, f1, f2, t) and the components (f1, f2, root) of their points."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(frequent_shingles(docs, frequent))
     rows = cut(point_rows(docs, order), "points")
     regions = cut(connected_components(candidate_edges(rows)), "regions")
-    points = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("low"), F.min("t").alias("t"))
+    points = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("t").alias("t"))
     points = cut(points.withColumn("cid", F.monotonically_increasing_id()), "point-names")
     named = regions.select(F.col("node").alias("f1"), F.col("root").alias("region"))
     named = named.unionByName(regions.select(F.col("root").alias("f1"), F.col("root").alias("region")).distinct())
@@ -457,9 +455,30 @@ def jaccard_components(docs: DataFrame, leaf: int = LEAF, frequent: int = FREQUE
     links = link_points(cut(found, "region-sets"), leaf)
     roots = connected_components(links).select(F.col("node").alias("cid"), "root")
     labelled = points.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    labelled = cut(labelled.select("f1", "f2", "root", "low"), "labelled")
-    lows = labelled.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = labelled.join(lows, "root").select("f1", "f2", "component_id")
+    return rows.drop("prefix"), cut(labelled.select("f1", "f2", "root"), "labelled")
+
+
+def jaccard_components(docs: DataFrame, leaf: int = LEAF, frequent: int = FREQUENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: a row for each row of ``docs``."""
+    rows, labelled = labelled_points(docs, leaf, frequent)
+    lows = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("low")).join(labelled, ["f1", "f2"])
+    lows = cut(lows, "lows")
+    classes = lows.join(lows.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("f1", "f2", "component_id")
     full = rows.filter("n > 0").select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2"])
     full = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, leaf: int = LEAF, frequent: int = FREQUENT) -> DataFrame:
+    """One row of each component of ``docs``: that of the smallest id (a null id comes last; of equal ids
+    the text with the smallest hash, of equal rows one), and all rows without words."""
+    rows, labelled = labelled_points(docs, leaf, frequent)
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
+    lows = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min(at).alias("at")).join(labelled, ["f1", "f2"])
+    kept = lows.groupBy("root").agg(F.min("at").alias("at")).select(F.col("at.doc_id").alias("_id"), F.col("at.t").alias("_k"), F.lit(True).alias("_one"))
+    empty = rows.filter("n = 0").select(F.col("doc_id").alias("_id"), F.col("t").alias("_k"), F.lit(False).alias("_one")).distinct()
+    full = docs.withColumn("_t", F.xxhash64("text")).join(kept.unionByName(empty), F.col("_t").eqNullSafe(F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    from pyspark.sql import Window
+
+    first = F.row_number().over(Window.partitionBy("_t", "doc_id").orderBy("_t"))
+    return full.withColumn("_n", first).filter("not _one or _n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

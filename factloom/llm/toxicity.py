@@ -28,15 +28,23 @@ TRAIN_ROWS = 20_000
 FEATURES = 4096
 LEAST_DOCS = 5
 #: Standard errors by which a word's log odds must differ from those of all words.
-LEAST_Z = 3.0
+LEAST_Z = 4.0
 GRADES = 3
 
 #: ASCII characters that aren't letters or digits part words.
 PARTING = bytes(i if i > 127 or chr(i).isalnum() else 32 for i in range(256))
 
 
+#: Bytes of a longer word's beginning that count as a feature too: forms of a word share it.
+STEMS = (5, 7)
+
+
 def features(text: str | None) -> set[bytes]:
-    return set(text.lower().encode().translate(PARTING).split()) if text else set()
+    """The distinct words, and how the longer ones begin (marked by a blank)."""
+    words = set(text.lower().encode().translate(PARTING).split()) if text else set()
+    for n in STEMS:
+        words |= {w[:n] + b" " for w in words if len(w) > n and w[-1] != 32}
+    return words
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -72,7 +80,7 @@ def select_words(rows: list[np.ndarray], grade: np.ndarray, most: int) -> np.nda
     return np.sort(words[order[z[order] > 0]])
 
 
-def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int = GRADES, most: int = FEATURES, rounds: int = 500, rate: float = 0.05, penalty: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int = GRADES, most: int = FEATURES, rounds: int = 1000, rate: float = 0.1, penalty: float = 0.02) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """(words, weights, thresholds) of the largest penalised likelihood, by Adam; none without two grades."""
     if len(np.unique(grade > 0)) < 2:
         return None
