@@ -43,6 +43,8 @@ PIVOT_SHINGLES = 1_000_000
 FREQUENT = 1_000_000
 DEPTH = 4
 PIVOTS = 16
+#: Points that share a shingle and are paired; more make a star.
+TOGETHER = 64
 
 
 def linked(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -92,7 +94,7 @@ def frequent_shingles(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
         if parts:
             yield told()
 
-    rows = keyed(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 16")
+    rows = keyed(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 8")
     rows = cut(rows.select("h", F.floor(F.log2("n")).cast("int").alias("step")), "frequent")
     total, least = 0, 64
     for r in rows.groupBy("step").count().orderBy(F.desc("step")).collect():  # at most 64 rows
@@ -147,8 +149,12 @@ def point_rows(docs: DataFrame, shared) -> DataFrame:
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
-    """(a, b): points that share a prefix shingle, each with the smallest of a run of sizes in which each
-    allows a link with the next. Points are named by f1; a clash only makes a region larger."""
+    """(a, b): points that may be linked. Points are named by f1; a clash only makes a region larger.
+
+    Points that share a prefix shingle with at most ``TOGETHER`` others pair up, and a pair stays if its
+    common prefix shingles and all that may follow them suffice for a link. A shingle that more points
+    have makes a star of each run of sizes in which each allows a link with the next.
+    """
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [[], [], []]
@@ -160,16 +166,49 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
         h, n, k = map(np.concatenate, cols)
         order = np.lexsort((k, n, h))
         h, n, k = h[order], n[order], k[order]
-        first = np.r_[True, (h[1:] != h[:-1]) | (100 * n[:-1] < 80 * n[1:])]
-        leader = k[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
-        differ = leader != k
-        pairs = np.unique(np.stack([k[differ], leader[differ]], 1), axis=0)
-        for i in range(0, len(pairs), 100_000):
-            part = pairs[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["a", "b"])
+        fresh = np.r_[True, (h[1:] != h[:-1]) | (k[1:] != k[:-1])]
+        h, n, k = h[fresh], n[fresh], k[fresh]
+        first = np.r_[True, h[1:] != h[:-1]]
+        group = np.cumsum(first) - 1
+        sizes = np.bincount(group)
+        hot = sizes[group] > TOGETHER
+        # stars
+        leads = first | np.r_[True, 100 * n[:-1] < 80 * n[1:]]
+        leader = np.maximum.accumulate(np.where(leads, np.arange(len(h)), 0))
+        at = np.flatnonzero(hot & (k != k[leader]))
+        yield from told(np.stack([k[at], k[leader[at]]], 1), np.stack([n[at], n[leader[at]]], 1), True)
+        # pairs
+        kept = np.flatnonzero(~hot & (sizes[group] > 1))
+        n, k, group = n[kept], k[kept], group[kept]
+        names, counts = [], []
+        for apart in range(1, TOGETHER):
+            i = np.flatnonzero((group[apart:] == group[:-apart]) & (100 * n[:-apart] >= 80 * n[apart:]))
+            if not len(i):
+                break
+            low, high = np.minimum(k[i], k[i + apart]), np.maximum(k[i], k[i + apart])
+            names.append(np.stack([low, high], 1))
+            counts.append(np.stack([np.where(low == k[i], n[i], n[i + apart]), np.where(low == k[i], n[i + apart], n[i])], 1))
+        if names:
+            yield from told(np.concatenate(names), np.concatenate(counts), False)
+
+    def told(pairs: np.ndarray, n: np.ndarray, hot: bool) -> Iterator[pa.RecordBatch]:
+        if len(pairs):
+            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs, n = pairs[order], n[order]
+            first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)])
+            c = np.diff(np.append(first, len(pairs)))
+            pairs, n = pairs[first], n[first]
+            for i in range(0, len(first), 100_000):
+                z = slice(i, i + 100_000)
+                arrays = [pa.array(x.astype(np.int64)) for x in (pairs[z, 0], pairs[z, 1], n[z, 0], n[z, 1], c[z])]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array([hot] * len(arrays[0]))], names=["a", "b", "na", "nb", "c", "hot"])
 
     prefix = rows.filter("n > 0").select(F.explode("prefix").alias("h"), "n", F.col("f1").alias("k"))
-    return prefix.repartition("h").mapInArrow(run, "a long, b long")
+    pairs = prefix.repartition("h").mapInArrow(run, "a long, b long, na long, nb long, c long, hot boolean")
+    pairs = pairs.groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("c").alias("c"), F.max("hot").alias("hot"))
+    least = F.ceil(80 * (F.col("na") + F.col("nb")) / 180 - 1e-9)
+    rest = F.greatest(*[F.ceil(80 * F.col(x) / 100) - 1 for x in ("na", "nb")])
+    return pairs.filter(F.col("hot") | (F.col("c") >= least - rest)).select("a", "b")
 
 
 def region_points(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
