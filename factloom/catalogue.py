@@ -116,7 +116,7 @@ def fact_family_cap(spark, sf_dir):
     return search.capped(o, ["o_custkey", "o_orderstatus"], 2, 14, "o_orderkey", "o_totalprice")
 
 
-@query("""SELECT b.item_id AS qid, d.doc_id, 12 + length(regexp_replace(b.text, '\\s+', '', 'g')) AS score
+@query("""SELECT b.item_id AS qid, d.doc_id, 12 + length(regexp_replace(replace(lower(b.text), 'ß', 'ss'), '\\s+', '', 'g')) AS score
 FROM benchmark b JOIN documents d ON contains(regexp_replace(replace(lower(d.text), 'ß', 'ss'), '\\s+', '', 'g'), regexp_replace(replace(lower(b.text), 'ß', 'ss'), '\\s+', '', 'g'))""")
 def entity_linking(spark, sf_dir):
     # labels meet texts under the label's first word, so only texts that hold it are compared
@@ -181,10 +181,10 @@ def batch_packing(spark, sf_dir):
     return units.batches(docs, "source", ["doc_id"], F.least(F.length("text"), F.lit(14000)), 14000, 5)
 
 
-@query("""SELECT page_id, count(*) AS n_lines, sum(length(l)) AS chars FROM (SELECT page_id, unnest(list_filter(list_transform(string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')) AS l FROM pages) GROUP BY page_id""")
+@query("""SELECT page_id, count(*) AS n_lines, sum(length(l))::BIGINT AS chars FROM (SELECT page_id, unnest(list_filter(list_transform(string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '')) AS l FROM pages) GROUP BY page_id""")
 def page_text_units(spark, sf_dir):
     text = F.regexp_replace("html", "<[^>]*>", "\n")
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
     rows = table(spark, sf_dir, "pages").select("page_id", F.explode(lines).alias("line"))
     return rows.groupBy("page_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("chars"))
 
@@ -426,9 +426,9 @@ def beam_paths(spark, sf_dir):
 
 @query("""WITH t AS (SELECT p_partkey AS qid FROM part WHERE p_partkey < 5), e0 AS (SELECT DISTINCT qid, l_orderkey AS event FROM t JOIN lineitem ON l_partkey = qid),
  led AS (SELECT o_orderkey AS src, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS dst FROM orders),
- both AS (SELECT src, dst FROM led WHERE dst IS NOT NULL UNION ALL SELECT dst, src FROM led WHERE dst IS NOT NULL),
- e1 AS (SELECT DISTINCT qid, dst AS event FROM e0 JOIN both ON src = event EXCEPT SELECT qid, event FROM e0),
- e2 AS ((SELECT DISTINCT qid, dst AS event FROM e1 JOIN both ON src = event) EXCEPT (SELECT qid, event FROM e0 UNION SELECT qid, event FROM e1))
+ links AS (SELECT src, dst FROM led WHERE dst IS NOT NULL UNION ALL SELECT dst, src FROM led WHERE dst IS NOT NULL),
+ e1 AS (SELECT DISTINCT qid, dst AS event FROM e0 JOIN links ON src = event EXCEPT SELECT qid, event FROM e0),
+ e2 AS ((SELECT DISTINCT qid, dst AS event FROM e1 JOIN links ON src = event) EXCEPT (SELECT qid, event FROM e0 UNION SELECT qid, event FROM e1))
 SELECT 'P' || qid AS qid, 'O' || event AS event, d AS depth FROM (SELECT *, 0 AS d FROM e0 UNION ALL SELECT *, 1 FROM e1 UNION ALL SELECT *, 2 FROM e2)""")
 def event_components(spark, sf_dir):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")

@@ -11,6 +11,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The vocabularies that routing, planning and extraction share with their users' data.
 RELATION_CUES = ("依赖", "使用", "购买", "替代", "合并", "升级", "影响", "导致", "原因", "归因", "depends", "uses", "purchased", "replace", "merge", "upgrade", "affect", "cause")
@@ -58,7 +59,7 @@ SALIENT_RANKED = r"[0-9]|→|变|增|降|影响|风险|原因|归因|升级|替
 SALIENT_EXHAUSTIVE = SALIENT_RANKED + r"|并入|投诉|异常|停售|发布|修复"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode compatibility composition, which has no built-in."""
     return s.str.normalize("NFKC")
