@@ -60,8 +60,7 @@ BM25_SQL = f"""
 
 
 def scored_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = search.postings(table(spark, sf_dir, "documents"), "doc_id")
-    return search.bm25(index, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text"), "doc_id")
+    return search.bm25_scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text"), "doc_id")
 
 
 @query(f"""WITH docs AS (SELECT doc_id, text FROM documents), qs AS (SELECT item_id AS qid, text FROM benchmark), {BM25_SQL}
@@ -91,7 +90,7 @@ def raw_weighted_rrf_quota(spark, sf_dir):
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     whole = bench.select((F.col("item_id") * 2).alias("qid"), "text")
     part = bench.select((F.col("item_id") * 2 + 1).alias("qid"), F.substr("text", F.lit(1), F.lit(60)).alias("text"))
-    ranked = search.top(search.bm25(search.postings(docs, "doc_id"), whole.unionByName(part), "doc_id"), 30, "doc_id")
+    ranked = search.top(search.bm25_scan(docs, whole.unionByName(part), "doc_id"), 30, "doc_id")
     weight = F.when(F.col("qid") % 2 == 0, 2.2).otherwise(0.7)
     fused = search.reciprocal_ranks(ranked.select(F.floor(F.col("qid") / 2).alias("qid"), "doc_id", "rank", weight.alias("weight")), key="doc_id")
     out = search.format_quota(fused.join(docs.select("doc_id", "lang", "source"), "doc_id"), 8, "lang", "source", "doc_id")

@@ -94,6 +94,7 @@ def tokens(c: Column) -> Column:
         return F.concat(whole, grams(run, 2), F.when(F.length(run) <= 12, grams(run, 3)).otherwise(none))
 
     cjk = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(CJK), F.lit(0)), parts))
+    cjk = F.when(text.rlike(CJK), cjk).otherwise(none)
     every = F.concat(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), cjk)
     return F.filter(every, lambda t: (F.length(t) > 1) & ~t.isin(*STOP_WORDS))
 
