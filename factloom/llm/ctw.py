@@ -39,7 +39,7 @@ GRAMS = 2_000_000
 #: Frequent words that every task holds.
 HEAD = 300_000
 #: Words that a task gathers before it passes them on.
-GATHER = 1_000_000
+GATHER = 500_000
 #: Bytes that are scored at once.
 CHUNK = 2_000_000
 SYMBOL = 9  # bits of a context symbol: a byte, or OTHER
@@ -99,14 +99,19 @@ def gram_keys(texts: list[str | None], depth: int) -> tuple[np.ndarray, np.ndarr
     """The grams of all positions of all texts, nearest context byte first, and where each text starts."""
     pad = b"\0" * depth
     raw = [(t or "").encode().lower() + b"\0" for t in texts]
-    flat = np.frombuffer(pad + pad.join(raw), np.uint8).astype(np.int64)
-    lengths = np.array([len(r) for r in raw])
-    starts = np.cumsum(lengths + depth) - lengths
-    at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-    key = np.zeros(len(at), np.int64)
+    flat = np.frombuffer(pad + pad.join(raw), np.uint8)
+    n = len(flat) - depth
+    key = np.zeros(n, np.int64)
     for back in range(1, depth + 1):
-        key = key << SYMBOL | flat[at - back]
-    return key << 8 | flat[at], np.cumsum(lengths) - lengths
+        key <<= SYMBOL
+        key |= flat[depth - back : depth - back + n]
+    key <<= 8
+    key |= flat[depth:]
+    lengths = np.array([len(r) for r in raw])
+    ends = np.cumsum(lengths + depth) - depth
+    keep = np.ones(n, bool)
+    keep[(ends[:-1, None] + np.arange(depth)[None, :]).ravel()] = False  # the zeros between texts
+    return key[keep], np.cumsum(lengths) - lengths
 
 
 def groups_of(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
@@ -128,14 +133,14 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
         sums: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for b in found:
             texts, out = texts_of(b), [held_out(i) for i in b.column(0).to_pylist()]
-            for a, z in groups_of(texts, 4 * CHUNK):
+            for a, z in groups_of(texts, CHUNK):
                 key, starts = gram_keys(texts[a:z], depth)
                 lengths = np.diff(np.append(starts, len(key)))
                 test = np.repeat(np.array(out[a:z], bool), lengths)
                 grams, n = np.unique(key[~test], return_counts=True)
                 new = np.unique(key[test])
                 sums = added(*sums, np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), np.int64)]))
-                if len(sums[0]) > 2 * GRAMS:
+                if len(sums[0]) > 2 * GATHER:
                     yield told(*sums)
                     sums = (sums[0][:0], sums[1][:0])
         if len(sums[0]):
@@ -288,30 +293,34 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = shared.value
         logs = {c: math.log10((c + 0.1) / bottom) for c in set(known.values()) | {ends}}
-        tail_kind = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))
-        for b in found:
-            texts = texts_of(b)
-            base, seen, tails, counts, sizes = [], [], [], [], []
-            for t in texts:
-                raw = (t or "").encode()
-                parts = raw.lower().split()
-                score, hits, tail = logs[ends], int(ends > 0), []
-                for w, k in Counter(parts).items():
-                    c = known.get(w)
-                    if c is None:
-                        tail.append({"word": w, "k": k})
-                    else:
-                        score += k * logs[c]
-                        hits += k
-                base.append(score)
-                seen.append(hits)
-                tails.append(tail)
-                counts.append(len(parts) + 1)
-                sizes.append(len(raw) + 1)
-            scores = np.concatenate([np.add.reduceat(table.score(key), starts) for a, z in groups_of(texts, CHUNK) for key, starts in [gram_keys(texts[a:z], table.depth)]] or [np.zeros(0)])
-            out = [held_out(i) for i in b.column(0).to_pylist()]
-            arrays = [b.column(0), pa.array(out, pa.bool_()), pa.array(counts, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(sizes, pa.int64()), pa.array(tails, tail_kind)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail"])
+        for big in found:
+            for at in range(0, big.num_rows, 500):
+                b = big.slice(at, 500)
+                texts = texts_of(b)
+                base, seen, words_, times, ends_, counts, sizes = [], [], [], [], [0], [], []
+                for t in texts:
+                    raw = (t or "").encode()
+                    parts = raw.lower().split()
+                    score, hits = logs[ends], int(ends > 0)
+                    for w, k in Counter(parts).items():
+                        c = known.get(w)
+                        if c is None:
+                            words_.append(w)
+                            times.append(k)
+                        else:
+                            score += k * logs[c]
+                            hits += k
+                    base.append(score)
+                    seen.append(hits)
+                    ends_.append(len(words_))
+                    counts.append(len(parts) + 1)
+                    sizes.append(len(raw) + 1)
+                scores = np.concatenate([np.add.reduceat(table.score(key), starts) for a, z in groups_of(texts, CHUNK) for key, starts in [gram_keys(texts[a:z], table.depth)]] or [np.zeros(0)])
+                out = [held_out(i) for i in b.column(0).to_pylist()]
+                pairs = pa.StructArray.from_arrays([pa.array(words_, pa.binary()), pa.array(times, pa.int32())], names=["word", "k"])
+                tails = pa.ListArray.from_arrays(pa.array(ends_, pa.int32()), pairs)
+                arrays = [b.column(0), pa.array(out, pa.bool_()), pa.array(counts, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(sizes, pa.int64()), tails]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<word:binary,k:int>>"
     rows = cut(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
