@@ -19,7 +19,7 @@ import numpy as np
 KEEP = 300_000
 #: The same for chunks that are plain words, most of them shorter.
 WORDS = 900_000
-LONGEST = 64
+LONGEST = 14
 #: Chunks that are encoded as one text.
 TOGETHER = 4096
 MARK = "\x01"
@@ -27,7 +27,7 @@ MARK = "\x01"
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) ")
 
 #: A plain word and what closes it, where lowering is the same in all libraries.
-PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{-~]*)")
 #: The split of files that drop white space, mark word ends and keep letter runs whole (a fixed value).
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
