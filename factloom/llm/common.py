@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -53,6 +54,42 @@ def drop_cut(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def boxed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The whole row as the struct ``box`` beside the named columns: an operator's own names can't clash
+    with those of other columns. ``unboxed`` gives the row back."""
+    from pyspark.sql import functions as F
+
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("box"), *columns)
+
+
+def unboxed(df: DataFrame, docs: DataFrame, **new) -> DataFrame:
+    """The rows that ``boxed`` put away, with new values for some columns."""
+    from pyspark.sql import functions as F
+
+    row = F.struct(*[(new[c] if c in new else F.col("box")[c]).alias(c) for c in docs.columns])
+    return df.select(row.alias("row")).select("row.*")
+
+
+def release() -> None:
+    """Give memory that this worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def lean(run):
+    """``run`` for mapInArrow, which leaves a small worker behind: workers outlive their tasks, beside
+    the executor's own memory."""
+
+    def wrapped(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(found)
+        release()
+
+    return wrapped
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, texts_of
+from factloom.llm.common import cut, lean, texts_of
 
 DEPTH = 5
 #: Grams that the driver and every task hold: about 60 bytes each while the model is made, 24 after.
@@ -74,7 +74,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield told()
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([ends], pa.int64())], names=["word", "c"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "word binary, c long")
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "word binary, c long")
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -153,7 +153,7 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
         keys, at = np.unique(np.concatenate([a, b]), return_inverse=True)
         return keys, np.bincount(at, np.concatenate([n, m]), len(keys)).astype(np.int64)
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "gram long, n long")
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "gram long, n long")
     return rows.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -323,7 +323,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<word:binary,k:int>>"
-    rows = cut(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    rows = cut(docs.select("doc_id", "text").mapInArrow(lean(run), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(step_of("c") < least)
     c = F.coalesce(F.col("c"), F.lit(0))
     tails = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(rare, "word", "left")

@@ -25,9 +25,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from factloom.llm.common import shingle_hashes, texts_of, word_hashes, words_of
+from factloom.llm.common import boxed, lean, shingle_hashes, texts_of, unboxed, word_hashes, words_of
 
 SHINGLE = 5
 RADIUS = 15
@@ -148,6 +148,7 @@ def leaks(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
     spark = docs.sparkSession
     kinds = [x.schema[c].dataType.simpleString() for x, c in ((docs, "doc_id"), (bench, "item_id"))]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start_word int, n_words int, similarity double, distance int"
+    item_type = to_arrow_type(bench.schema["item_id"].dataType)
     out = spark.createDataFrame([], schema)
     for block in item_blocks(bench):
         shared = spark.sparkContext.broadcast(block)
@@ -157,22 +158,23 @@ def leaks(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
                 rows = [(i, *x) for i, t in enumerate(texts_of(b)) for x in shared.value.leaks(t, least)]
                 if rows:
                     who, item, start, n, similar, apart = map(list, zip(*rows, strict=True))
-                    arrays = [b.column(0).take(pa.array(who)), pa.array(item), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(similar), pa.array(apart, pa.int32())]
+                    arrays = [b.column(0).take(pa.array(who)), pa.array(item, item_type), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(similar), pa.array(apart, pa.int32())]
                     yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"])
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(run, schema))
+        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(lean(run), schema))
     return out
 
 
 def drop_leaking(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged."""
+    rows = boxed(docs, "text")
     for block in item_blocks(bench):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(found: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in found:
-                clean = [next(shared.value.leaks(t, least), None) is None for t in texts_of(b, "_text")]
+                clean = [next(shared.value.leaks(t, least), None) is None for t in texts_of(b)]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.withColumn("_text", F.col("text")).mapInArrow(run, docs.withColumn("_text", F.col("text")).schema).drop("_text")
-    return docs
+        rows = rows.mapInArrow(lean(run), rows.schema)
+    return unboxed(rows, docs)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import bitmap_of, cut, may_hold, texts_of
+from factloom.llm.common import bitmap_of, boxed, cut, lean, may_hold, texts_of, unboxed
 from factloom.llm.components import Forest, connected_components
 
 TAU = 2
@@ -162,7 +162,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
             rows = pa.array(who, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(place, pa.int32()), pa.array(name, pa.int64())], names=["doc_id", "t", "line", "name"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(run, f"doc_id {kind}, t long, line int, name long")
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(lean(run), f"doc_id {kind}, t long, line int, name long")
 
 
 def segment_keys(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
@@ -193,7 +193,7 @@ def segment_keys(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
                 key = np.array(keys, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(np.array(names, np.int64), counts))], names=["key", "name"])
 
-    return docs.select("text").mapInArrow(run, "key long, name long")
+    return docs.select("text").mapInArrow(lean(run), "key long, name long")
 
 
 def meeting_lines(keys: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def meeting_lines(keys: DataFrame) -> DataFrame:
             part = pairs[i : i + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["a", "b"])
 
-    return keys.repartition(F.shiftright("key", 1)).mapInArrow(run, "a long, b long")
+    return keys.repartition(F.shiftright("key", 1)).mapInArrow(lean(run), "a long, b long")
 
 
 def region_lines(docs: DataFrame, wanted: np.ndarray, shortest: int) -> DataFrame:
@@ -239,7 +239,7 @@ def region_lines(docs: DataFrame, wanted: np.ndarray, shortest: int) -> DataFram
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.string())], names=["name", "s"])
 
-    return docs.select("text").mapInArrow(run, "name long, s string")
+    return docs.select("text").mapInArrow(lean(run), "name long, s string")
 
 
 def region_links(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
@@ -264,7 +264,7 @@ def region_links(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
         if len(own) > 1:
             yield told()
 
-    return lines.repartition("region").sortWithinPartitions("region").select("region", "name", "s").mapInArrow(run, "a long, b long")
+    return lines.repartition("region").sortWithinPartitions("region").select("region", "name", "s").mapInArrow(lean(run), "a long, b long")
 
 
 def near_copies(docs: DataFrame, tau: int, shortest: int, leaf: int) -> DataFrame:
@@ -301,11 +301,11 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST, leaf:
     a dropped line are unchanged."""
     gone = line_classes(docs, tau, shortest, leaf).groupBy("doc_id", "t").agg(F.collect_set(F.when(~F.col("kept"), F.col("line"))).alias("_gone"), F.count_if("kept").alias("_left"))
     gone = gone.filter(F.size("_gone") > 0).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "_gone", "_left")
-    full = docs.withColumn("_x", F.xxhash64("text"))
+    full = boxed(docs, "doc_id", "text").withColumn("_x", F.xxhash64("text"))
     full = full.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t")), "left").filter("_left is null or _left > 0")
     lines = F.filter(F.transform(F.split("text", "\n"), lambda s, i: F.when(~F.array_contains(F.col("_gone"), i), s)), lambda s: s.isNotNull())
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    out = full.withColumn("text", text)
+    changed = F.col("_gone").isNotNull()
+    new = {"text": F.when(changed, F.array_join(lines, "\n")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(changed, F.length(new["text"])).otherwise(F.col("box.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return unboxed(full, docs, **new)

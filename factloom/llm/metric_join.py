@@ -29,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import bitmap_of, cut, long_list, may_hold, shingle_hashes, texts_of, word_hashes, words_of
+from factloom.llm.common import bitmap_of, boxed, cut, lean, long_list, may_hold, shingle_hashes, texts_of, unboxed, word_hashes, words_of
 from factloom.llm.components import connected_components
 
 #: Shingles of a region that one task joins: 8 bytes each, a few copies.
@@ -94,7 +94,7 @@ def frequent_shingles(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
         if parts:
             yield told()
 
-    rows = keyed(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 8")
+    rows = keyed(docs).mapInArrow(lean(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 8")
     rows = cut(rows.select("h", F.floor(F.log2("n")).cast("int").alias("step")), "frequent")
     total, least = 0, 64
     for r in rows.groupBy("step").count().orderBy(F.desc("step")).collect():  # at most 64 rows
@@ -145,7 +145,7 @@ def point_rows(docs: DataFrame, shared) -> DataFrame:
             flat = np.concatenate([p for p in prefixes if p is not None] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([b.column(0), *cols, long_list(flat, np.cumsum([0, *sizes]), pa.int64())], names=["doc_id", "n", "f1", "f2", "t", "prefix"])
 
-    return keyed(docs, "doc_id").mapInArrow(run, f"doc_id {kind}, n long, f1 long, f2 long, t long, prefix array<long>")
+    return keyed(docs, "doc_id").mapInArrow(lean(run), f"doc_id {kind}, n long, f1 long, f2 long, t long, prefix array<long>")
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array([hot] * len(arrays[0]))], names=["a", "b", "na", "nb", "c", "hot"])
 
     prefix = rows.filter("n > 0").select(F.explode("prefix").alias("h"), "n", F.col("f1").alias("k"))
-    pairs = prefix.repartition("h").mapInArrow(run, "a long, b long, na long, nb long, c long, hot boolean")
+    pairs = prefix.repartition("h").mapInArrow(lean(run), "a long, b long, na long, nb long, c long, hot boolean")
     pairs = pairs.groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("c").alias("c"), F.max("hot").alias("hot"))
     least = F.ceil(80 * (F.col("na") + F.col("nb")) / 180 - 1e-9)
     rest = F.greatest(*[F.ceil(80 * F.col(x) / 100) - 1 for x in ("na", "nb")])
@@ -231,7 +231,7 @@ def region_points(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                 sets = long_list(np.concatenate([r[4] for r in out]), np.cumsum([0, *(r[1] for r in out)]), pa.int64())
                 yield pa.RecordBatch.from_arrays([*cols, sets], names=["t", "n", "f1", "f2", "s"])
 
-    return keyed(docs).mapInArrow(run, "t long, n long, f1 long, f2 long, s array<long>")
+    return keyed(docs).mapInArrow(lean(run), "t long, n long, f1 long, f2 long, s array<long>")
 
 
 # ---------------------------------------------------------------- inside a region
@@ -379,7 +379,7 @@ def leaf_links(points: DataFrame) -> DataFrame:
         if len(cids) > 1:
             yield told()
 
-    return points.repartition("region").sortWithinPartitions("region").select("region", "cid", "n", "s").mapInArrow(run, "a long, b long")
+    return points.repartition("region").sortWithinPartitions("region").select("region", "cid", "n", "s").mapInArrow(lean(run), "a long, b long")
 
 
 def split_regions(points: DataFrame, large: list[tuple[str, int]], leaf: int, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -389,7 +389,6 @@ def split_regions(points: DataFrame, large: list[tuple[str, int]], leaf: int, de
     ours = points.filter(F.col("region").isin(names))
     share = max(1, PIVOT_SHINGLES // len(large))
     order = F.xxhash64("cid", F.lit(depth))
-    from pyspark.sql import Window
 
     w = Window.partitionBy("region").orderBy("order", "cid")
     ranked = ours.select("region", "cid", "n", order.alias("order")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= PIVOTS)
@@ -424,7 +423,7 @@ def split_regions(points: DataFrame, large: list[tuple[str, int]], leaf: int, de
                 k = len(link_a)
                 yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.string()), pa.array(link_a, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64())), pa.array(link_b, pa.int64())], names=["region", "cid", "n", "s", "b"])
 
-    out = cut(ours.select("region", "cid", "n", "s").mapInArrow(run, POINT + ", b long"), "split")
+    out = cut(ours.select("region", "cid", "n", "s").mapInArrow(lean(run), POINT + ", b long"), "split")
     return out.filter("region is not null").select("region", "cid", "n", "s"), out.filter("region is null").select(F.col("cid").alias("a"), "b")
 
 
@@ -516,8 +515,6 @@ def keep_one(docs: DataFrame, leaf: int = LEAF, frequent: int = FREQUENT) -> Dat
     lows = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min(at).alias("at")).join(labelled, ["f1", "f2"])
     kept = lows.groupBy("root").agg(F.min("at").alias("at")).select(F.col("at.doc_id").alias("_id"), F.col("at.t").alias("_k"), F.lit(True).alias("_one"))
     empty = rows.filter("n = 0").select(F.col("doc_id").alias("_id"), F.col("t").alias("_k"), F.lit(False).alias("_one")).distinct()
-    full = docs.withColumn("_t", F.xxhash64("text")).join(kept.unionByName(empty), F.col("_t").eqNullSafe(F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    from pyspark.sql import Window
-
+    full = boxed(docs, "doc_id", "text").withColumn("_t", F.xxhash64("text")).join(kept.unionByName(empty), F.col("_t").eqNullSafe(F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     first = F.row_number().over(Window.partitionBy("_t", "doc_id").orderBy("_t"))
-    return full.withColumn("_n", first).filter("not _one or _n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unboxed(full.withColumn("_n", first).filter("not _one or _n = 1"), docs)

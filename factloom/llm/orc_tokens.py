@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, long_list, texts_of
+from factloom.llm.common import cut, lean, long_list, texts_of
 from factloom.llm.tokens import encoder
 
 STRIPE_BYTES = 32 << 20
 ROW_STRIDE = 1000
+#: Plain words whose ids a worker keeps.
+WORDS = 900_000
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
@@ -31,7 +33,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pos = encoder(tokenizer), 0
+        enc, pos = encoder(tokenizer, WORDS), 0
         end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for big in found:
             for at in range(0, big.num_rows, 500):
@@ -43,7 +45,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
                 pos += b.num_rows
                 yield pa.RecordBatch.from_arrays([b.column(0), places, long_list(flat, offsets, pa.int32())], names=["doc_id", "pos", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, pos long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, pos long, ids array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1) -> str:
@@ -85,7 +87,7 @@ def token_digest(spark: SparkSession, path: str, kind: str = "bigint") -> DataFr
 
     part = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("long")
     rows = read_tokens(spark, path, kind).select(part.alias("file"), "doc_id", "pos", "ids")
-    rows = cut(rows.mapInArrow(run, f"file long, doc_id {kind}, pos long, n_tokens long, ids_crc32 long"), "token-digest")
+    rows = cut(rows.mapInArrow(lean(run), f"file long, doc_id {kind}, pos long, n_tokens long, ids_crc32 long"), "token-digest")
     within = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     before = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(files), F.lit(0)).alias("before"))

@@ -31,13 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, texts_of
-from factloom.llm.tokens import encoder
+from factloom.llm.common import cut, lean, texts_of
+from factloom.llm.tokens import encoder, forget
 
 CAPACITY = 1024
 #: Lengths of at least this share of the capacity are large.
 LARGE = 1 / 3
 GROUPS = 128
+#: Plain words whose ids a worker keeps.
+WORDS = 900_000
 
 #: A bin type: how many sequences, and the lengths in each, in order.
 Bins = list[tuple[int, list[int]]]
@@ -181,13 +183,13 @@ def slots(bins: Bins) -> dict[int, list[tuple[int, int, int]]]:
     return out
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, and for ranking the task's number
     (task) and the piece's rank among those of its length in the task (rank)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, ranks, task = encoder(tokenizer), np.uint32(end_id).tobytes(), defaultdict(int), TaskContext.get().partitionId()
+        enc, end, ranks, task = encoder(tokenizer, words), np.uint32(end_id).tobytes(), defaultdict(int), TaskContext.get().partitionId()
         for big in found:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
@@ -207,14 +209,17 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
                 arrays = [b.column(0).take(pa.array(who, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array([task] * len(who), pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "rank", "task"])
+        if words < WORDS:
+            forget()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, rank long, task long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, rank long, task long")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY, groups: int = GROUPS, words: int = WORDS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece. With fewer words
+    than ``WORDS`` a worker also forgets them after each task, as a job with other steps needs."""
     spark = docs.sparkSession
-    pieces = cut(cut_pieces(docs, tokenizer, end_id, capacity), "pieces")
+    pieces = cut(cut_pieces(docs, tokenizer, end_id, capacity, words), "pieces")
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -238,4 +243,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPAC
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(seq), pa.array(off)], names=[*b.schema.names[:5], "sequence_id", "offset"])
 
     ranked = pieces.join(starts, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
-    return ranked.mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(place), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import SPACES
+from factloom.llm.common import SPACES, boxed, unboxed
 
 
 @dataclass(frozen=True)
@@ -148,4 +148,4 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged."""
-    return measured(docs).filter(~base_failed() & passes(rules)).drop("_quality")
+    return unboxed(measured(boxed(docs, "text")).filter(~base_failed() & passes(rules)), docs)

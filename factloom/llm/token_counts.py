@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, texts_of
+from factloom.llm.common import cut, lean, texts_of
 from factloom.llm.tokens import encoder
 
 #: Frequent pre-tokens that every task holds: about 100 bytes each.
@@ -76,7 +76,7 @@ def distinct_pretokens(docs: DataFrame, tokenizer: str) -> DataFrame:
         if seen:
             yield told()
 
-    rows = docs.select("text").mapInArrow(run, "pretoken string, n long")
+    rows = docs.select("text").mapInArrow(lean(run), "pretoken string, n long")
     return rows.groupBy("pretoken").agg(F.sum("n").alias("n"))
 
 
@@ -89,7 +89,7 @@ def counted_pieces(pretokens: DataFrame, tokenizer: str) -> DataFrame:
             pieces = [len(x) // 4 for x in enc.plain(b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pieces, pa.int32())], names=["pretoken", "n", "pieces"])
 
-    return pretokens.select("pretoken", "n").mapInArrow(run, "pretoken string, n long, pieces int")
+    return pretokens.select("pretoken", "n").mapInArrow(lean(run), "pretoken string, n long, pieces int")
 
 
 def head_of(pieces: DataFrame, most: int) -> tuple[dict[str, int], float]:
@@ -133,7 +133,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, head: int = HEAD, over: int =
             kinds = pa.list_(pa.struct([("pretoken", pa.string()), ("c", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(tails, kinds)], names=["doc_id", "n_bytes", "n", "tail"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n long, tail array<struct<pretoken:string,c:int>>")
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n_bytes long, n long, tail array<struct<pretoken:string,c:int>>")
     rows = cut(rows.withColumn("row", F.monotonically_increasing_id()), "token-tails")
     step = F.floor(F.log2("n") * 16).cast("int")
     rare = pieces.filter(step < least).select("pretoken", "pieces") if least != float("inf") else pieces.select("pretoken", "pieces")

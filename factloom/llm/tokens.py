@@ -16,9 +16,7 @@ import re
 import numpy as np
 
 #: Chunks that a worker keeps before it starts anew, about 200 bytes each; longer chunks are not kept.
-KEEP = 300_000
-#: The same for chunks that are plain words, most of them shorter.
-WORDS = 900_000
+KEEP = 200_000
 LONGEST = 14
 #: Chunks that are encoded as one text.
 TOGETHER = 4096
@@ -34,13 +32,19 @@ LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _encoders: dict[str, ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """This worker's encoder for a tokenizer file."""
+def encoder(path: str, words: int = 300_000) -> ChunkEncoder:
+    """This worker's encoder for a tokenizer file, which keeps so many plain words, about 200 bytes each."""
     if path not in _encoders:
         _encoders[path] = ChunkEncoder(path)
+    _encoders[path].words_kept = words
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop this worker's encoders with all that they keep."""
+    _encoders.clear()
+
+
 def byte_lengths(tokenizer) -> np.ndarray | None:
     """The bytes that each id stands for, where every byte of a text belongs to one token; else none."""
     told = json.loads(tokenizer.to_str())
@@ -84,6 +88,8 @@ class ChunkEncoder:
         self.words = word_tokenizer(self.tokenizer)
         self.known: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
+        self.closed: set[str] = set()  # of these, those that a symbol closes
+        self.words_kept = 300_000
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -155,7 +161,7 @@ class ChunkEncoder:
 
     def encode_spaced(self, texts: list[str | None]) -> list[bytes]:
         """Full stops and commas before white space are chunks of their own, so far fewer chunks differ.
-        That is exact unless they follow another symbol; such texts are cut at blanks only."""
+        That is exact unless one follows a chunk that a symbol closes; such texts are cut at blanks only."""
         chunks, cut, new = [], set(), set()
         for i, t in enumerate(texts):
             parts = self.spaced_chunks(t or "")
@@ -164,21 +170,27 @@ class ChunkEncoder:
             chunks.append(parts or [])
             new.update(chunks[-1])
         dropped = self.lengths is None
-        if len(self.spaced) + len(new) > WORDS:
-            self.spaced = {}
+        if len(self.spaced) + len(new) > self.words_kept:
+            self.spaced, self.closed = {}, set()
         if dropped:
             self.spaced[""] = b""
         new = {c for c in new if c not in self.spaced}
         alone = {".", ","} if dropped else {f"{MARK}.", f"{MARK},"}
-        odd = {c for c in new if not c[-1:].isalnum()} - alone
-        if odd:
-            cut.update(i for i, parts in enumerate(chunks) if not odd.isdisjoint(parts))
-        order = [c for c in new if c not in odd]
+        bad = {c for c in new if not c or c[-1].isspace() or c == MARK}
+        closed = {c for c in new if not c[-1:].isalnum()} - alone - bad
+        self.closed |= closed
+        if bad or self.closed:
+            for i, parts in enumerate(chunks):
+                if not bad.isdisjoint(parts):
+                    cut.add(i)
+                elif not self.closed.isdisjoint(parts) and any(y in alone and x in self.closed for x, y in zip(parts, parts[1:], strict=False)):
+                    cut.add(i)
+        order = [c for c in new if c not in bad]
         if dropped:
             plain = [c for c in order if c.isalpha()]
             self.spaced.update(zip(plain, self.encode_joined(plain), strict=True))
             rest = [c for c in order if c not in self.spaced]
-            self.spaced.update(zip(rest, self.plain(rest), strict=True))
+            self.spaced.update(zip(rest, self.encode_words([" " + c for c in rest]), strict=True))
         else:
             first = [c for c in order if c[0] == MARK]
             self.spaced.update(zip(first, self.plain([c[1:] for c in first]), strict=True))
@@ -191,6 +203,7 @@ class ChunkEncoder:
         for c in order:
             if len(c) > LONGEST:
                 del self.spaced[c]
+                self.closed.discard(c)
         return out
 
     def encode_cut(self, texts: list[str | None]) -> list[bytes]:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import texts_of
+from factloom.llm.common import lean, texts_of
 
 TRAIN_ROWS = 20_000
 FEATURES = 4096
@@ -59,7 +59,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[list[np.nd
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(words, pa.list_(pa.int64()))], names=["grade", "words"])
 
     ours = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
-    found = ours.mapInArrow(run, "grade int, words array<long>").toArrow().combine_chunks()
+    found = ours.mapInArrow(lean(run), "grade int, words array<long>").toArrow().combine_chunks()
     if not found.num_rows:
         return [], np.zeros(0, int)
     words = found.column(1).combine_chunks()
@@ -142,4 +142,4 @@ def severity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, m
             arrays = [b.column(0), pa.array(above.sum(1)), pa.array(grade, pa.int32()), pa.array(grade > 0)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "severity", "grade", "toxic"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, severity double, grade int, toxic boolean")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, severity double, grade int, toxic boolean")
