@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from factloom.functions import text as T
 from factloom.functions.ids import ident
-from factloom.operators import align, entries, extract, graph, search, units
+from factloom.operators import align, build, entries, extract, graph, search, tables, units
 from factloom.plans import context, planner
+from factloom.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -629,3 +630,150 @@ PDF_TABLES = [("d", 7, 1, 400.0, 700.0, 50.0, 500.0, 800.0), ("d", 8, 1, 60.0, 3
 def pdf_table_continuation(spark, sf_dir):
     t = spark.sql(f"SELECT * FROM {values(PDF_TABLES, 'doc, page, table, top, bottom, left, right, height')}")
     return units.continued_tables(t).select("doc", "page", "inherited_from")
+
+
+# ---------------------------------------------------------------- tables in units
+
+SHEET = [("s", 1, "A", "订单"), ("s", 1, "C", "备注"), ("s", 2, "A", "编号"), ("s", 2, "B", "数量"), ("s", 3, "A", "O-1"), ("s", 3, "B", "5"), ("s", 3, "C", "客户要求升级"), ("s", 4, "A", "O-2"), ("s", 4, "C", " "), ("t", 1, "A", "Name"), ("t", 2, "A", "12")]
+
+
+@query("SELECT * FROM (VALUES ('s', 'A', '订单/编号', 2), ('s', 'B', '数量', 2), ('s', 'C', '备注', 2), ('t', 'A', 'Name', 1)) AS v(sheet, col, header, depth)")
+def header_inference(spark, sf_dir):
+    return tables.sheet_headers(spark.sql(f"SELECT * FROM {values(SHEET, 'sheet, row, col, raw')}"))
+
+
+@query("SELECT * FROM (VALUES ('s', 3, '备注=客户要求升级', '订单/编号=O-1;数量=5')) AS v(sheet, row, semantic, context)")
+def semantic_overlay(spark, sf_dir):
+    cells_ = spark.sql(f"SELECT * FROM {values(SHEET, 'sheet, row, col, raw')}")
+    out = tables.free_text_overlay(cells_, tables.sheet_headers(cells_))
+    return out.select("sheet", "row", F.array_join("semantic", ";").alias("semantic"), F.array_join("context", ";").alias("context"))
+
+
+ALIAS_UNITS = [
+    ("u1", "产品", "| 标准名称 | 别名 | 移动端名称 |\\n| --- | --- | --- |\\n| Atlas | AT | Atlas M |\\n| Box | box | |"),
+    ("u2", "", "| 标准名称 | 别名 |\\n| Foo | F |"),
+    ("u3", "", "| 标准名称 | 别名 | 实体类型 |\\n| Foo | F | 数据集 |"),
+    ("u4", "产品", "| 名称 | 数量 |\\n| Foo | 1 |"),
+]
+
+
+@query("SELECT * FROM (VALUES ('u1', 'alias_1', 'Product', 'Atlas', 'AT,Atlas M'), ('u3', 'alias_1', 'DataAsset', 'Foo', 'F')) AS v(unit_id, local_id, type, name, aliases)")
+def alias_table_mentions(spark, sf_dir):
+    df = spark.sql(f"SELECT * FROM {values(ALIAS_UNITS, 'unit_id, section, content')}")
+    return tables.alias_mentions(df).withColumn("aliases", F.array_join("aliases", ","))
+
+
+PARTS = [
+    ("a", "d", 31, None, "工具/产品/说明", 50.0, 500.0, 700.0, "头一 产品对照", 1),
+    ("b", "d", 32, 31, "工具/产品/说明", 52.0, 498.0, 600.0, "续 二 三", 2),
+    ("c", "d", 33, 32, "工具/产品/说明", 50.0, 500.0, 300.0, "续 四", 1),
+    ("x", "d", 41, None, "日期/金额", 50.0, 500.0, 700.0, "其他", 5),
+    ("y", "e", 32, 31, "工具/产品/说明", 50.0, 500.0, 700.0, "别的文档", 1),
+]
+
+
+def part_tables(spark):
+    df = spark.sql(f"SELECT * FROM {values(PARTS, 'unit_id, doc, page, inherited, header, left, right, bottom, content, n_rows')}")
+    return df.withColumn("header", F.split("header", "/"))
+
+
+@query("SELECT * FROM (VALUES ('a', 'a'), ('b', 'a'), ('c', 'a'), ('x', 'x'), ('y', 'y')) AS v(unit_id, root)")
+def table_groups(spark, sf_dir):
+    return tables.table_roots(part_tables(spark))
+
+
+@query("SELECT * FROM (VALUES (1, 'a', 3, 1), (1, 'b', 3, 2), (1, 'c', 3, 1)) AS v(qid, unit_id, n_columns, n_rows)")
+def table_reconstruction(spark, sf_dir):
+    q = spark.sql("SELECT 1 AS qid, '还原工具产品对照表的续表，同时说明日期金额' AS text")
+    out = tables.reconstruct(q, part_tables(spark))
+    return out.select("qid", "unit_id", F.size("header").alias("n_columns"), "n_rows")
+
+
+# ---------------------------------------------------------------- graph build
+
+VERSIONED = [("m1", "ExampleTool", "AITool"), ("m2", "ExampleTool v2.0", "AITool"), ("m3", "ExampleTool v3", "Product"), ("m4", "ExampleTool v4", "AITool"), ("m5", "Other v1", "AITool")]
+VERSION_RELATIONS = [("m2", "version_of", "m1"), ("m3", "uses", "m1"), ("m4", "unheard_of", "m1")]
+
+
+@query("SELECT * FROM (VALUES ('m1', 'AITool', NULL, NULL), ('m2', 'Version', '2.0', 'ExampleTool'), ('m3', 'Product', NULL, NULL), ('m4', 'AITool', NULL, NULL), ('m5', 'AITool', NULL, NULL)) AS v(mention_id, type, version, parent_name)")
+def version_repair(spark, sf_dir):
+    m = spark.sql(f"SELECT * FROM {values(VERSIONED, 'mention_id, name, type')}")
+    return build.repair_versions(m, spark.sql(f"SELECT * FROM {values(VERSION_RELATIONS, 'subject, predicate, object')}"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, event_type, ts::DATE AS day FROM events), f AS (SELECT user_id, event_type, day, min(event_id) AS first FROM e GROUP BY ALL)
+SELECT event_id AS mention_id, CASE WHEN event_type = 'error' THEN event_id ELSE first END AS entity_id FROM e JOIN f USING (user_id, event_type, day)""")
+def observation_coalescing(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    sample = F.when(F.col("event_type") == "error", "unknown").otherwise("all")
+    scope = F.create_map(F.lit("period"), F.to_date("ts").cast("string"), F.lit("sample_scope"), sample, F.lit("metric_definition"), F.lit("value"))
+    o = e.select(F.col("event_id").alias("mention_id"), F.array(F.col("user_id")).alias("parents"), F.col("event_type").alias("metric"), scope.alias("qualifiers"), F.lit(1).alias("n_values"), F.lit("").alias("unit"), F.lit("").alias("currency"))
+    return build.coalesce_observations(o, e.select(F.col("event_id").alias("mention_id"), F.col("event_id").alias("entity_id")))
+
+
+@query("""SELECT p_brand AS entity_id, count(DISTINCT p_name) AS n_names, least(8, count(DISTINCT p_name)) AS n_kept, least(6, count(DISTINCT p_type)) AS n_categories FROM part GROUP BY ALL""")
+def entity_profiles(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    m = p.select(F.col("p_partkey").alias("mention_id"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("identifier"), F.create_map(F.lit("category"), F.col("p_type"), F.lit("colour"), F.lit("x")).alias("attributes"))
+    out = build.profiles(m, p.select(F.col("p_partkey").alias("mention_id"), F.col("p_brand").alias("entity_id")))
+    n = p.groupBy(F.col("p_brand").alias("entity_id")).agg(F.count_distinct("p_name").alias("n_names"))
+    return out.join(n, "entity_id").select("entity_id", "n_names", F.size("names").cast("long").alias("n_kept"), F.size(F.col("attributes")["category"]).cast("long").alias("n_categories"))
+
+
+@query("""WITH r AS (SELECT DISTINCT 'C' || o_custkey AS s, 'P' || l_partkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey < 200)
+SELECT 'nodes' AS part, (SELECT count(*) FROM customer WHERE c_custkey < 200) + (SELECT count(DISTINCT p_brand) FROM part) AS n
+UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)
+UNION ALL SELECT 'facts', (SELECT count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)) + (SELECT count(*) FROM (SELECT DISTINCT p_brand, p_type FROM part))""")
+def graph_build(spark, sf_dir):
+    # parts of one brand are one entity
+    c = table(spark, sf_dir, "customer").filter("c_custkey < 200").select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.col("c_name").alias("name"))
+    p = table(spark, sf_dir, "part")
+    m = c.unionByName(p.select(extract.entity("P", "p_partkey").alias("mention_id"), F.lit("Product").alias("type"), F.col("p_name").alias("name")))
+    m = m.select("*", F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("has_identifier"), F.lit(False).alias("alias_declared"))
+    mapping = c.select("mention_id", F.col("mention_id").alias("entity_id")).unionByName(p.select(extract.entity("P", "p_partkey").alias("mention_id"), F.col("p_brand").alias("entity_id")))
+    f = facts_of(spark, sf_dir).filter("predicate = 'purchased'").join(c.select(F.col("mention_id").alias("subject")), "subject", "left_semi")
+    none = F.lit(None).cast("string").alias("task_id")
+    relations = f.select("subject", "predicate", "object", F.lit("{}").alias("qualifiers"), F.col("source_row").alias("evidence_id"), none)
+    a = extract.attribute_facts(p, "P", "p_partkey", ["p_type"]).select("subject", "predicate", "value", "qualifiers", F.col("subject").alias("evidence_id"), none)
+    g = build.build(m, relations, a, mapping)
+    count = lambda k: g[k].agg(F.count("*").alias("n")).select(F.lit(k).alias("part"), "n")
+    return count("nodes").unionByName(count("edges")).unionByName(count("facts"))
+
+
+@query("""WITH h AS (SELECT o_orderpriority AS qid, o_orderkey, 'C' || o_custkey AS subject, o_totalprice AS score, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders),
+ l AS (SELECT DISTINCT o_orderpriority AS qid, 'C7' AS node, 5 AS length FROM orders),
+ s AS (SELECT qid, node, (12 + max(length))::DOUBLE AS s FROM l GROUP BY ALL UNION ALL SELECT qid, subject, 2.0 / rank + 0.2 * score FROM h WHERE rank <= 12
+  UNION ALL SELECT qid, subject, 1.0 / rank FROM h WHERE rank <= 8),
+ t AS (SELECT qid, node, round(sum(s), 6) AS score FROM s GROUP BY ALL)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, node) AS rank FROM t) WHERE rank <= 18""")
+def entity_candidates(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("qid"), "o_orderkey", extract.entity("C", "o_custkey").alias("subject"), F.col("o_totalprice").alias("score"))
+    hits = search.top(o, 12, "o_orderkey").withColumn("object", F.lit(None).cast("string"))
+    labels = o.select("qid").distinct().select("qid", F.lit("C7").alias("node"), F.lit(5).alias("length"))
+    raw = hits.select("qid", "rank", F.col("o_orderkey").alias("unit_id"))
+    out = build.entity_candidates(labels, hits, raw, hits.select(F.col("o_orderkey").alias("unit_id"), F.col("subject").alias("node")))
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(f"""WITH s AS (SELECT entry_id, value, length(value) AS salience FROM {CELLS} WHERE sheet = 'customers' AND field = 'c_mktsegment'),
+ f AS (SELECT value, max(salience) AS s, min(entry_id) AS e FROM s GROUP BY ALL)
+SELECT 1 AS qid, '列出 ' || string_agg(value, ' ' ORDER BY s DESC, e) AS text FROM (SELECT * FROM f ORDER BY s DESC, e LIMIT 3)""")
+def exhaustive_augmentation(spark, sf_dir):
+    hits = cells(spark, sf_dir).filter("sheet = 'customers' and field = 'c_mktsegment'").select(F.lit(1).alias("qid"), "entry_id", "value", F.length("value").cast("double").alias("salience"))
+    return build.augmented_questions(spark.sql("SELECT 1 AS qid, '列出' AS question, 3 AS expected_count"), hits)
+
+
+@query("""SELECT 'entity_alignment' AS kind, 'C' || c_custkey AS id FROM customer WHERE c_custkey % 50 = 3 UNION ALL
+SELECT 'unreviewed_unit', 'U' || doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'parse_failure', 'D' || page_id FROM pages WHERE page_id % 40 = 0""")
+def unresolved_items(spark, sf_dir):
+    status = table(spark, sf_dir, "customer").select(extract.entity("C", "c_custkey").alias("cluster_id"), F.when(F.col("c_custkey") % 50 == 3, "uncertain").otherwise("resolved").alias("status"))
+    done = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("reviewed"))
+    units_ = table(spark, sf_dir, "documents").join(done, "doc_id", "left").select(extract.entity("U", "doc_id").alias("unit_id"), "reviewed")
+    docs = table(spark, sf_dir, "pages").select(extract.entity("D", "page_id").alias("document_id"), F.when(F.col("page_id") % 40 == 0, "failed").otherwise("parsed").alias("parse_status"))
+    return build.unresolved(status, spark.createDataFrame([], "id string"), units_, docs)
+
+
+@query("""SELECT event_type, strftime(ts, '%Y-%m-%d %H') AS hour, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL""")
+def windowed_events(spark, sf_dir):
+    out = intake.windowed_counts(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return out.select("event_type", F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "n", "total")
