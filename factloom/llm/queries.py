@@ -69,4 +69,34 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+STOP = ", ".join(sorted({f"'{w}'" for line in quality.STOP_WORDS.values() for w in line.split()}))
+
+
+def rule_sql() -> str:
+    out = ["true"]
+    for r in quality.RULES:
+        out += [f"{r.top} >= {r.least} * {r.bottom}"] if r.least is not None else []
+        out += [f"{r.top} <= {r.most} * {r.bottom}"] if r.most is not None else []
+    return " AND ".join(out)
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_jaccard_join": r"""WITH RECURSIVE d AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+   lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+ w AS (SELECT doc_id, len(ws) AS m, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+ f AS (SELECT doc_id, m, i, concat_ws(' ', w, lead(w, 1) OVER p, lead(w, 2) OVER p, lead(w, 3) OVER p, lead(w, 4) OVER p) AS g FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+ s AS (SELECT DISTINCT doc_id, g FROM f WHERE i = 1 OR i <= m - 4), c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ n AS (SELECT doc_id, coalesce(n, 0) AS n FROM d LEFT JOIN c USING (doc_id)),
+ links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+   GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+ reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, n AS n_shingles, low AS component_id FROM n JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) ON a = doc_id""",
+    "op6_quality_rules": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+ w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+ g AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, unnest(list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4])) AS g FROM w WHERE len(ws) > 4),
+ r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+ c AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM r, range(5) AS x(j) GROUP BY doc_id),
+ m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(list_filter(ws, lambda x: x IN ({STOP}))) AS n_stop_words, len(ls) AS n_lines FROM w LEFT JOIN c USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ({rule_sql()}) AS kept FROM m""",
+}
