@@ -20,13 +20,15 @@ from factloom.llm.common import SPACES, boxed, unboxed
 
 @dataclass(frozen=True)
 class Rule:
-    """``scale * top / bottom`` must lie between ``least`` and ``most``; a bottom of 0 passes."""
+    """``top / bottom`` must lie between ``least`` and ``most``; ``slack`` more of the top count for the
+    least, so that short texts don't fail by chance. A bottom of 0 passes."""
 
     name: str
     top: str
     bottom: str
     least: float | None = None
     most: float | None = None
+    slack: int = 0
 
 
 #: The ten most frequent function words of the languages in the corpus, in natural order.
@@ -40,8 +42,10 @@ STOP_WORDS = {
 RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 12.0),
     Rule("symbol_ratio", "n_symbols", "n_words", None, 0.1),
-    Rule("stop_word_ratio", "n_stop_words", "n_words", 0.04, None),
-    Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.3),
+    Rule("stop_word_ratio", "n_stop_words", "n_words", 0.04, None, slack=1),
+    Rule("capital_ratio", "n_capitals", "n_words", None, 2.0),
+    Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.5),
+    Rule("echo_ratio", "n_echoes", "n_words", None, 0.2),
 )
 
 
@@ -89,6 +93,7 @@ def measured(docs: DataFrame) -> DataFrame:
             F.size(words).cast("long").alias("n_words"),
             repeated_words(words).cast("long").alias("n_repeat_words"),
             F.size(F.filter(words, lambda w: w.isin(stop))).cast("long").alias("n_stop_words"),
+            F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("long").alias("n_echoes"),
         )
 
     def lines(found: Column) -> Column:
@@ -109,9 +114,11 @@ def measured(docs: DataFrame) -> DataFrame:
                 F.col("_w.n_words"),
                 F.length(without(text, SPACES)).cast("long").alias("word_chars"),
                 (F.length(text) - F.length(without(text, "#*$%&|<>"))).cast("long").alias("n_symbols"),
+                F.regexp_count(text, F.lit("[A-ZÀ-ÖØ-Þ]")).cast("long").alias("n_capitals"),
                 F.col("_s.n_dup_lines"),
                 F.col("_w.n_repeat_words"),
                 F.col("_w.n_stop_words"),
+                F.col("_w.n_echoes"),
                 F.col("_s.n_lines"),
             ),
         )
@@ -125,7 +132,7 @@ def passes(rules: tuple[Rule, ...] = RULES, at: str = "_quality") -> Column:
     for r in rules:
         top, bottom = F.col(f"{at}.{r.top}"), F.col(f"{at}.{r.bottom}")
         if r.least is not None:
-            out = out & (top >= r.least * bottom)
+            out = out & (top + r.slack >= r.least * bottom)
         if r.most is not None:
             out = out & (top <= r.most * bottom)
     return out
@@ -140,7 +147,7 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     """doc_id, the counts, base_failed and kept, a row for each row of ``docs``."""
     return measured(docs.select("doc_id", "text")).select(
         "doc_id",
-        *[f"_quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines")],
+        *[f"_quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_capitals", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_echoes", "n_lines")],
         base_failed().alias("base_failed"),
         (~base_failed() & passes(rules)).alias("kept"),
     )

@@ -75,7 +75,7 @@ STOP = ", ".join(sorted({f"'{w}'" for line in quality.STOP_WORDS.values() for w
 def rule_sql() -> str:
     out = ["true"]
     for r in quality.RULES:
-        out += [f"{r.top} >= {r.least} * {r.bottom}"] if r.least is not None else []
+        out += [f"{r.top} + {r.slack} >= {r.least} * {r.bottom}"] if r.least is not None else []
         out += [f"{r.top} <= {r.most} * {r.bottom}"] if r.most is not None else []
     return " AND ".join(out)
 
@@ -96,7 +96,7 @@ SELECT doc_id, n AS n_shingles, low AS component_id FROM n JOIN (SELECT a, min(b
  g AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, unnest(list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4])) AS g FROM w WHERE len(ws) > 4),
  r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
  c AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM r, range(5) AS x(j) GROUP BY doc_id),
- m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(list_filter(ws, lambda x: x IN ({STOP}))) AS n_stop_words, len(ls) AS n_lines FROM w LEFT JOIN c USING (doc_id))
+ m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, length(t) - length(regexp_replace(t, '[A-ZÀ-ÖØ-Þ]', '', 'g')) AS n_capitals,
+   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(list_filter(ws, lambda x: x IN ({STOP}))) AS n_stop_words, len(list_filter(ws, lambda x, i: i > 1 AND x = ws[i - 1])) AS n_echoes, len(ls) AS n_lines FROM w LEFT JOIN c USING (doc_id))
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ({rule_sql()}) AS kept FROM m""",
 }
