@@ -45,15 +45,6 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_cut(*frames: DataFrame) -> None:
-    """Delete tables that ``cut`` wrote, once nothing reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for f in {os.path.dirname(f) for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def boxed(docs: DataFrame, *columns: str) -> DataFrame:
     """The whole row as the struct ``box`` beside the named columns: an operator's own names can't clash
     with those of other columns. ``unboxed`` gives the row back."""
@@ -124,17 +115,6 @@ def shingle_hashes(h: np.ndarray, k: int = 5) -> np.ndarray:
     return out
 
 
-def batches(rows: Iterator[dict], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
-    part: list[dict] = []
-    for r in rows:
-        part.append(r)
-        if len(part) >= size:
-            yield pa.RecordBatch.from_pylist(part, schema=schema)
-            part = []
-    if part:
-        yield pa.RecordBatch.from_pylist(part, schema=schema)
-
-
 def long_list(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
 
