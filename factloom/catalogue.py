@@ -11,6 +11,7 @@ from factloom.functions import text as T
 from factloom.functions.ids import ident
 from factloom.operators import align, build, entries, extract, graph, search, tables, units
 from factloom.plans import context, planner
+from factloom.sources import sinks
 from factloom.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -777,3 +778,59 @@ def unresolved_items(spark, sf_dir):
 def windowed_events(spark, sf_dir):
     out = intake.windowed_counts(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
     return out.select("event_type", F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "n", "total")
+
+
+# ---------------------------------------------------------------- more scalars, coverage and sinks
+
+FILES = [(1, "a.DOCX", "AB12", "one  two", "x|y"), (2, "b/c.xls", "C7", "", "z"), (3, "d.png", "12", "w" * 100, ""), (4, "plain", "A1", " q ", "a\\nb")]
+
+
+@query(f"""WITH f AS {values([(i, p, c, q, r.replace(chr(92) + 'n', chr(10))) for i, p, c, q, r in FILES], 'id, path, cell, quote, raw')}
+SELECT id, CASE lower(regexp_extract(path, '([A-Za-z0-9]+)$', 1)) WHEN 'docx' THEN 'word' WHEN 'xls' THEN 'excel' WHEN 'png' THEN 'image' ELSE lower(regexp_extract(path, '([A-Za-z0-9]+)$', 1)) END AS format,
+ regexp_extract(cell, '([A-Z]+)', 1) AS letters, CASE WHEN length(trim(regexp_replace(quote, '\\s+', ' ', 'g'))) <= 96 THEN trim(regexp_replace(quote, '\\s+', ' ', 'g')) ELSE substr(quote, 1, 95) || '…' END AS quote,
+ '| ' || replace(replace(raw, '|', '\\|'), chr(10), '<br>') || ' | ' || letters || ' |' AS rendered FROM f""")
+def file_scalars(spark, sf_dir):
+    df = spark.sql(f"SELECT * FROM {values(FILES, 'id, path, cell, quote, raw')}")
+    letters = T.column_letters(F.col("cell"))
+    return df.select("id", T.format_name(F.col("path")).alias("format"), letters.alias("letters"), T.short_quote(F.col("quote")).alias("quote"), T.render_row(F.array("raw", letters)).alias("rendered"))
+
+
+@query("SELECT * FROM (VALUES (1, 'page=3; row=7'), (2, 'sheet=S; cell=B2'), (3, '')) AS v(id, locator)")
+def locator_texts(spark, sf_dir):
+    df = spark.sql("SELECT 1 AS id, map('row', '7', 'page', '3') AS l UNION ALL SELECT 2, map('cell', 'B2', 'sheet', 'S', 'other', 'x') UNION ALL SELECT 3, map('page', '')")
+    return df.select("id", T.locator_text(F.col("l")).alias("locator"))
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY pos) AS i FROM {BLOCKS}),
+ f AS (SELECT qid, i, size + 2 <= 9000 AS ok, CASE WHEN size + 2 <= 9000 THEN size + 2 ELSE 0 END AS total FROM o WHERE i = 1
+  UNION ALL SELECT o.qid, o.i, f.total + 2 + o.size <= 9000, CASE WHEN f.total + 2 + o.size <= 9000 THEN f.total + 2 + o.size ELSE f.total END FROM f JOIN o ON o.qid = f.qid AND o.i = f.i + 1)
+SELECT qid, count(*) AS total_blocks, count(*) FILTER (WHERE ok) AS included_blocks, count(*) FILTER (WHERE NOT ok) AS omitted_blocks FROM f GROUP BY qid""")
+def context_coverage(spark, sf_dir):
+    return context.coverage(context.pack_skip(blocks(spark, sf_dir), 9000))
+
+
+@query("""SELECT source AS document_id, length('# ' || source || chr(10) || chr(10) || string_agg('<!-- unit ' || doc_id || ' at ' || lpad(doc_id::VARCHAR, 9, '0') || ' -->' || chr(10) || chr(10) || text, chr(10) || chr(10))) AS chars FROM documents GROUP BY source""")
+def enriched_documents(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    u = d.select(F.col("source").alias("document_id"), F.col("doc_id").cast("string").alias("unit_id"), F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("locator"), F.col("text").alias("content"))
+    out = sinks.enriched_markdown(u, d.select(F.col("source").alias("document_id"), F.col("source").alias("path")).distinct())
+    return out.select("document_id", F.length("markdown").cast("long").alias("chars"))
+
+
+@query("""SELECT s.s_suppkey AS work_dir FROM supplier s WHERE s.s_suppkey % 3 = 1 AND s.s_acctbal = (SELECT max(s_acctbal) FROM supplier WHERE s_suppkey % 3 = 1) ORDER BY s_suppkey LIMIT 1""")
+def run_selection(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    backend = F.when(F.col("s_suppkey") % 3 == 1, "native").otherwise("other")
+    runs = s.select(F.col("s_suppkey").alias("work_dir"), (F.col("s_acctbal") * 100).alias("mtime_ns"), backend.alias("backend"), F.lit("f").alias("fingerprint_graph"), F.lit("f").alias("fingerprint_units"), F.lit(True).alias("complete"), F.lit(False).alias("archived"))
+    return sinks.latest_run(runs, "second").select("work_dir")
+
+
+@query("""WITH e AS (SELECT event_type AS qid, event_id, value FROM events WHERE event_id < 400)
+SELECT a.event_id AS id, CASE WHEN a.qid = 'error' AND b.qid = 'purchase' THEN true WHEN a.qid = 'click' THEN NULL ELSE false END AS fits FROM e a JOIN e b ON b.event_id = a.event_id + 1""")
+def relation_types(spark, sf_dir):
+    e = table(spark, sf_dir, "events").filter("event_id < 400").select("event_id", "event_type")
+    pairs = e.join(e.select((F.col("event_id") - 1).alias("event_id"), F.col("event_type").alias("next")), "event_id")
+    p = F.when(F.col("event_type") == "click", "custom").otherwise("uses")
+    s = F.when(F.col("event_type") == "error", "Actor").otherwise("Event")
+    o = F.when(F.col("next") == "purchase", "AITool").otherwise("Event")
+    return pairs.select(F.col("event_id").alias("id"), graph.relation_fits(p, s, o).alias("fits"))
