@@ -312,13 +312,60 @@ def join_region(sets: list[np.ndarray], small: int = 48) -> np.ndarray:
         at = np.argwhere(linked(c, region.n[members][:, None], region.n[chosen][None, :]))
         region.merge(np.stack([members[at[:, 0]], chosen[at[:, 1]]], 1))
         parts = cells(distances(c, region.n[members], region.n[chosen]))
-        if max(map(len, parts)) > 0.9 * len(members):
-            one_by_one(region, members)
+        if sum(len(p) ** 2 for p in parts) > 0.5 * len(members) ** 2:  # copies would outgrow what splitting saves
+            by_prefix(region, members)
         else:
             todo += [members[p] for p in parts if len(p) > 1]
     return region.root
 
 
+def by_prefix(region: Region, members: np.ndarray) -> None:
+    """Points that no pivot tells apart: they meet under the first shingles in the order of how many of
+    them hold each. Pairs under rare ones are compared if their common ones can suffice; the points under
+    a frequent one take turns as pivots."""
+    n = region.n[members]
+    who = np.repeat(np.arange(len(members)), n)
+    flat = np.concatenate([region.set_of(i) for i in members])
+    _, at, df = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.lexsort((at, df[at], who))
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    size = n - (80 * n + 99) // 100 + 1
+    first = place < size[who]  # rows are by point, so places are ranks in its order
+    shingle, point = at[order][first], who[order][first]
+    order = np.lexsort((n[point], shingle))
+    shingle, point = shingle[order], point[order]
+    group = np.cumsum(np.r_[True, shingle[1:] != shingle[:-1]]) - 1
+    counts = np.bincount(group)
+    hot = counts[group] > TOGETHER
+    for g in np.unique(group[hot]):
+        one_by_one(region, members[point[group == g]])
+    point, group = point[~hot], group[~hot]
+    found = []
+    for apart in range(1, TOGETHER):
+        i = np.flatnonzero(group[apart:] == group[:-apart])
+        if not len(i):
+            break
+        i = i[100 * n[point[i]] >= 80 * n[point[i + apart]]]
+        found.append(np.sort(np.stack([point[i], point[i + apart]], 1), 1))
+    if not found:
+        return
+    pairs, c = np.unique(np.concatenate(found), axis=0, return_counts=True)
+    a, b = n[pairs[:, 0]], n[pairs[:, 1]]
+    # one of two points has its whole prefix before the end of the other's: what is common lies in both
+    # prefixes, under rare shingles or frequent ones, or after that prefix
+    frequent = np.bincount(who[np.flatnonzero(first)], minlength=len(members))
+    seen = np.bincount(point, minlength=len(members))
+    extra = np.minimum((frequent - seen)[pairs[:, 0]], (frequent - seen)[pairs[:, 1]])
+    rest = np.maximum(a - size[pairs[:, 0]], b - size[pairs[:, 1]])
+    pairs = pairs[180 * (c + extra + rest) >= 80 * (a + b)]
+    for x, y in pairs.tolist():
+        i, j = members[x], members[y]
+        if region.root[i] != region.root[j]:
+            both = len(np.intersect1d(region.set_of(i), region.set_of(j), assume_unique=True))
+            if linked(both, region.n[i], region.n[j]):
+                region.merge(np.array([[i, j]]))
+
+
 def one_by_one(region: Region, members: np.ndarray) -> None:
     """Each point outside the largest component is a pivot in turn; what a former pivot's distances rule
     out by the triangle inequality isn't compared. Pairs inside the largest component need no look."""
@@ -463,8 +510,13 @@ def link_points(points: DataFrame, leaf: int = LEAF) -> DataFrame:
                     parts.append(block_links(points, batch, leaf))
                 else:
                     cells_, links = split_regions(points, batch, leaf, depth)
-                    again.append(cells_)
                     parts.append(links)
+                    parent = F.regexp_replace("region", "/[0-9]+$", "")
+                    grown = {r["p"]: r["n"] for r in cells_.groupBy(parent.alias("p")).agg(F.sum("n").alias("n")).collect()}  # a row per region of the batch
+                    dense = [(r, n) for r, n in batch if grown.get(r, 0) > 2 * n]
+                    if dense:  # copies outgrow what splitting saves
+                        parts.append(block_links(points, dense, leaf))
+                    again.append(cells_.filter(~parent.isin([r for r, _ in dense])) if dense else cells_)
                 batch = []
         if depth == DEPTH:
             break
