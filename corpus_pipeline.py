@@ -31,7 +31,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of what is left."""
-    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), end_id=2, words=300_000)
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), end_id=2, words=50_000)
 
 
 STAGES = [

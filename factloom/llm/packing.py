@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, texts_of
+from factloom.llm.common import cut, lean, release, texts_of
 from factloom.llm.tokens import encoder, forget
 
 CAPACITY = 1024
@@ -209,6 +209,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
                 arrays = [b.column(0).take(pa.array(who, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array([task] * len(who), pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "rank", "task"])
+            if words < WORDS:
+                release()
         if words < WORDS:
             forget()
 

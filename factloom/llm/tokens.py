@@ -212,7 +212,7 @@ class ChunkEncoder:
         new: set[str] = set()
         for parts in chunks:
             new.update(parts[1:])
-        if len(self.known) + len(new) > KEEP:
+        if len(self.known) + len(new) > min(KEEP, self.words_kept):
             self.known = {}
         else:
             new = {c for c in new if c not in self.known}
