@@ -137,7 +137,7 @@ def severity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, m
                 scores.append(sum(sorted(filter(None, map(seen.__getitem__, words)))))
                 if len(seen) > 500_000:
                     seen = {}
-            above = 1 / (1 + np.exp(-(np.array(scores)[:, None] - theta[None, :]).clip(-700, 700)))
+            above = np.isfinite(theta) / (1 + np.exp(-(np.array(scores)[:, None] - theta[None, :]).clip(-700, 700)))
             grade = (above > 0.5).sum(1)
             arrays = [b.column(0), pa.array(above.sum(1)), pa.array(grade, pa.int32()), pa.array(grade > 0)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "severity", "grade", "toxic"])
