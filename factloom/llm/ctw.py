@@ -5,11 +5,10 @@ the ``DEPTH`` bytes before; every node holds a Krichevsky-Trofimov estimate of t
 weights it half against its children's product, so all depths are mixed by how well they code the
 training texts. The probability of a byte after a context depends on those ``DEPTH`` + 1 bytes alone:
 
-1. Tasks count the (DEPTH + 1)-grams of their training texts and list those of the others; merged, they
-   are the gram table. Beyond ``GRAMS`` of them the oldest byte of the rarest becomes one common symbol,
-   then the next, until the table has a bounded size.
-2. From it the driver computes the weighted probability of every gram.
-3. Tasks look up the grams of each text and add up their logarithms.
+1. Tasks count the (DEPTH + 1)-grams of all texts; summed, they are the gram table, which holds every one.
+2. Dealt by the ``TOP`` nearest context bytes, tasks weigh the nodes from ``TOP`` bytes down; the driver weighs
+   the few above them, which have at most ``TOP`` - 1 bytes, and tasks mix both into the score of every gram.
+3. Tasks add up the logarithms of each text: the ``GRAMS`` most frequent grams are held, the rest joined.
 
 Texts are lower-cased (A-Z), preceded by ``DEPTH`` zero bytes and closed by one. ``base_score`` is the
 smoothed word unigram; its word counts join per-document frequencies, the most frequent ones at once.
@@ -34,16 +33,17 @@ from pyspark.sql import functions as F
 from factloom.llm.common import cut, lean, texts_of
 
 DEPTH = 5
-#: Grams that the driver and every task hold: about 60 bytes each while the model is made, 24 after.
+#: Frequent grams that every task holds, 32 bytes each; the others are joined.
 GRAMS = 2_000_000
+#: Nearest context bytes by which the gram table is dealt.
+TOP = 2
 #: Frequent words that every task holds.
 HEAD = 300_000
 #: Words that a task gathers before it passes them on.
 GATHER = 500_000
 #: Bytes that are scored at once.
 CHUNK = 2_000_000
-SYMBOL = 9  # bits of a context symbol: a byte, or OTHER
-OTHER = 256
+SYMBOL = 9  # bits of a context symbol
 
 
 def held_out(doc_id) -> bool:
@@ -127,53 +127,33 @@ def groups_of(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
 
 
 def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """gram, n: how often training texts have it; grams of held-out texts alone have 0."""
+    """gram, n, m: how often training texts and all texts have it."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        sums = (np.zeros(0, np.int64),) * 3
         for b in found:
             texts, out = texts_of(b), [held_out(i) for i in b.column(0).to_pylist()]
             for a, z in groups_of(texts, CHUNK):
                 key, starts = gram_keys(texts[a:z], depth)
                 lengths = np.diff(np.append(starts, len(key)))
-                test = np.repeat(np.array(out[a:z], bool), lengths)
-                grams, n = np.unique(key[~test], return_counts=True)
-                new = np.unique(key[test])
-                sums = added(*sums, np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), np.int64)]))
+                train = np.repeat(~np.array(out[a:z], bool), lengths)
+                grams, at = np.unique(key, return_inverse=True)
+                sums = added(sums, (grams, np.bincount(at, train, len(grams)), np.bincount(at, minlength=len(grams))))
                 if len(sums[0]) > 2 * GATHER:
                     yield told(*sums)
-                    sums = (sums[0][:0], sums[1][:0])
+                    sums = tuple(x[:0] for x in sums)
         if len(sums[0]):
             yield told(*sums)
 
-    def told(grams: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], names=["gram", "n"])
+    def told(grams: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n), pa.array(m)], names=["gram", "n", "m"])
 
-    def added(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-        return keys, np.bincount(at, np.concatenate([n, m]), len(keys)).astype(np.int64)
+    def added(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        keys, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+        return keys, *(np.bincount(at, np.concatenate([x, y]), len(keys)).astype(np.int64) for x, y in zip(a[1:], b[1:], strict=True))
 
-    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "gram long, n long")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def bounded_grams(grams: DataFrame, depth: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``most`` grams (and one per byte) with their counts, sorted: what is beyond has ``OTHER``
-    in place of its oldest bytes, its counts added."""
-    for back in range(depth):
-        if grams.count() <= most:
-            break
-        least = least_step(grams.withColumn("n1", F.col("n") + 1), "n1", most // 2)
-        shift = 8 + SYMBOL * back
-        folded = F.col("gram").bitwiseAND(F.lit(~(((1 << SYMBOL) - 1) << shift))).bitwiseOR(F.lit(OTHER << shift))
-        rare = step_of("n1") < least
-        grams = grams.withColumn("n1", F.col("n") + 1).select(F.when(rare, folded).otherwise(F.col("gram")).alias("gram"), "n")
-        grams = cut(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    found = grams.toArrow()
-    none = sum(OTHER << 8 + SYMBOL * back for back in range(depth))
-    keys = np.concatenate([found.column(0).to_numpy(), none + np.arange(256)])
-    keys, at = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([found.column(1).to_numpy(), np.zeros(256)]), len(keys))
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "gram long, n long, m long")
+    return rows.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 # ---------------------------------------------------------------- the weighted tree
@@ -193,18 +173,19 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - math.log(math.pi) - log_gamma(a + b + 1.0)
 
 
-def weighted_log10(grams: np.ndarray, n: np.ndarray, depth: int) -> np.ndarray:
-    """The log10 probability that the weighted tree gives to each gram's last byte after its context."""
+def weighted_bits(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each bit of the last byte: an order of the grams and, in it, their nodes of ``top`` bytes (led by a
+    one and the bits before), whether the bit is one, and its probability by those nodes' trees; then the
+    nodes' first places, zeros, ones and log weights. All grams of such a node must be there."""
     context, byte = grams >> 8, grams & 255
-    out = np.zeros(len(grams))
     for bit in range(8):
-        prefix = byte >> 8 - bit  # the bits of the byte before this one
+        prefix = 1 << bit | byte >> 8 - bit  # the bits of the byte before this one
         order = np.argsort(prefix << SYMBOL * depth | context, kind="stable")
         count, one = n[order].astype(float), (byte[order] >> 7 - bit & 1).astype(bool)
         path = (prefix << SYMBOL * depth | context)[order]
         chance = None
         below: tuple[np.ndarray, np.ndarray] | None = None  # the deeper nodes: first rows, log weights
-        for d in range(depth, -1, -1):
+        for d in range(depth, top - 1, -1):
             node = path >> SYMBOL * (depth - d)
             first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
             ones = np.add.reduceat(np.where(one, count, 0.0), first)
@@ -216,19 +197,73 @@ def weighted_log10(grams: np.ndarray, n: np.ndarray, depth: int) -> np.ndarray:
                 chance, weight = kt, own
             else:
                 children = np.add.reduceat(below[1], np.searchsorted(below[0], first))
-                share = np.repeat(1 / (1 + np.exp(np.clip(children - own, -700, 700))), sizes)
+                share = np.repeat(own_share(own, children), sizes)
                 chance = share * kt + (1 - share) * chance
                 weight = np.logaddexp(own, children) - math.log(2)
             below = (first, weight)
+        yield order, node, one, chance, first, zeros, ones, weight
+
+
+def own_share(own: np.ndarray, children: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(children - own, -700, 700)))
+
+
+def weighted_log10(grams: np.ndarray, n: np.ndarray, depth: int, top: int = 0, above: list[tuple[np.ndarray, np.ndarray]] = ()) -> np.ndarray:
+    """The log10 probability that the weighted tree gives to each gram's last byte after its context;
+    ``above`` has the shares and probabilities of a one of the nodes of 0 to ``top`` - 1 bytes."""
+    out = np.zeros(len(grams))
+    for order, node, one, chance, *_ in weighted_bits(grams, n, depth, top):
+        for d in range(top - 1, -1, -1):
+            share, ones = (x[node >> SYMBOL * (top - d)] for x in above[d])
+            chance = share * np.where(one, ones, 1 - ones) + (1 - share) * chance
         out[order] += np.log10(chance)
     return out
 
 
+def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
+    """gram, m, score: the log10 probability of its last byte after its context."""
+    spark, top = grams.sparkSession, min(TOP, depth)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams.count() // GATHER))
+    dealt = grams.repartition(parts, F.shiftright("gram", 8 + SYMBOL * (depth - top)))
+
+    def whole(found: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+        rows = pa.Table.from_batches(found) if (found := list(found)) else pa.table({c: pa.array([], pa.int64()) for c in "gnm"})
+        return [c.to_numpy() for c in rows.columns]
+
+    def parents(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n, _ = whole(found)
+        if len(keys):
+            for _, node, _, _, first, *sums in weighted_bits(keys, n, depth, top):
+                up, at = np.unique(node[first] >> SYMBOL, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(up), *(pa.array(np.bincount(at, x, len(up))) for x in sums)], names=["node", "zeros", "ones", "children"])
+
+    above: list[tuple[np.ndarray, np.ndarray]] = []
+    if top:
+        sums = dealt.mapInArrow(lean(parents), "node long, zeros double, ones double, children double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
+        node, zeros, ones, children = (c.to_numpy() for c in sums.toArrow().columns)  # at most 255 x 256 ** (top - 1)
+        for d in range(top - 1, -1, -1):
+            own = log_kt(zeros, ones)
+            level = np.zeros((2, 256 << SYMBOL * d))
+            level[:, node] = own_share(own, children), (ones + 0.5) / (zeros + ones + 1)
+            above.insert(0, (level[0], level[1]))
+            weight = np.logaddexp(own, children) - math.log(2)
+            node, at = np.unique(node >> SYMBOL, return_inverse=True)
+            zeros, ones, children = (np.bincount(at, x, len(node)) for x in (zeros, ones, weight))
+    shared = spark.sparkContext.broadcast(above)
+
+    def scores(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n, m = whole(found)
+        if len(keys):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(m), pa.array(weighted_log10(keys, n, depth, top, shared.value))], names=["gram", "m", "score"])
+
+    return dealt.mapInArrow(lean(scores), "gram long, m long, score double")
+
+
 class Table:
     """Grams and their scores in an open hash table of numpy arrays."""
 
-    def __init__(self, grams: np.ndarray, scores: np.ndarray, depth: int):
-        self.grams, self.scores, self.depth = grams, scores.astype(np.float32), depth
+    def __init__(self, grams: np.ndarray, scores: np.ndarray):
+        self.grams, self.scores = grams, scores
         self.bits = max(10, int(len(grams) * 2 - 1).bit_length())
         self.slots = None
 
@@ -258,18 +293,21 @@ class Table:
             open_ = open_[(found[open_] >= 0) & (self.grams[found[open_]] != keys[open_])]
         return found
 
-    def score(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probabilities; what the table lacks is looked up with its oldest bytes as OTHER."""
-        found = self.find(keys)
-        for back in range(self.depth):
-            lost = np.flatnonzero(found < 0)
-            if not len(lost):
-                break
-            shift = 8 + SYMBOL * back
-            keys = keys.copy() if not back else keys
-            keys[lost] = keys[lost] & ~(((1 << SYMBOL) - 1) << shift) | OTHER << shift
-            found[lost] = self.find(keys[lost])
-        return self.scores[found].astype(np.float64)
+    def score(self, keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+        """For texts that start there: the sum of the scores, and the grams that the table lacks, counted."""
+        if not len(self.grams):
+            found = np.full(len(keys), -1)
+        else:
+            found = self.find(keys)
+        sums = np.add.reduceat(np.append(self.scores, 0.0)[found], starts)  # -1 is the zero at the end
+        lost = np.flatnonzero(found < 0)
+        text = np.searchsorted(starts, lost, "right") - 1
+        order = np.lexsort((keys[lost], text))
+        text, gram = text[order], keys[lost][order]
+        first = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1])][: len(gram)])
+        pairs = pa.StructArray.from_arrays([pa.array(gram[first]), pa.array(np.diff(np.append(first, len(gram))))], names=["gram", "k"])
+        ends = np.searchsorted(text[first], np.arange(len(starts) + 1))
+        return sums, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
 def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: int = HEAD) -> DataFrame:
@@ -285,9 +323,11 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
     found = words.filter(step_of("c") >= least).toArrow()
     known = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
     bottom = total + 0.1 * (distinct + 1)
-    grams, n = bounded_grams(cut(gram_counts(docs, depth), "grams"), depth, most)
-    table = Table(grams, weighted_log10(grams, n, depth), depth)
-    del grams, n
+    grams = cut(gram_scores(cut(gram_counts(docs, depth), "grams"), depth), "gram-scores")
+    least_gram = least_step(grams, "m", most)
+    found = grams.filter(step_of("m") >= least_gram).toArrow()
+    table = Table(found.column(0).to_numpy(), found.column(2).to_numpy())
+    del found
     shared = spark.sparkContext.broadcast((known, table))  # at most head words and most grams
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,20 +355,24 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
                     ends_.append(len(words_))
                     counts.append(len(parts) + 1)
                     sizes.append(len(raw) + 1)
-                scores = np.concatenate([np.add.reduceat(table.score(key), starts) for a, z in groups_of(texts, CHUNK) for key, starts in [gram_keys(texts[a:z], table.depth)]] or [np.zeros(0)])
+                scored = [table.score(*gram_keys(texts[a:z], depth)) for a, z in groups_of(texts, CHUNK)]
+                scores, lost = np.concatenate([x for x, _ in scored]), pa.concat_arrays([x for _, x in scored])
                 out = [held_out(i) for i in b.column(0).to_pylist()]
                 pairs = pa.StructArray.from_arrays([pa.array(words_, pa.binary()), pa.array(times, pa.int32())], names=["word", "k"])
                 tails = pa.ListArray.from_arrays(pa.array(ends_, pa.int32()), pairs)
-                arrays = [b.column(0), pa.array(out, pa.bool_()), pa.array(counts, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(sizes, pa.int64()), tails]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail"])
+                arrays = [b.column(0), pa.array(out, pa.bool_()), pa.array(counts, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(sizes, pa.int64()), tails, lost]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail", "lost"])
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<word:binary,k:int>>"
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<word:binary,k:int>>, lost array<struct<gram:long,k:long>>"
     rows = cut(docs.select("doc_id", "text").mapInArrow(lean(run), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(step_of("c") < least)
     c = F.coalesce(F.col("c"), F.lit(0))
     tails = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(rare, "word", "left")
     sums = tails.groupBy("row").agg(F.sum(F.col("k") * F.log10((c + 0.1) / F.lit(bottom))).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("hits"))
-    return rows.drop("tail").join(sums, "row", "left").select(
+    lost = rows.select("row", F.explode("lost").alias("l")).select("row", "l.gram", "l.k").join(grams.filter(step_of("m") < least_gram), "gram")
+    rest = lost.groupBy("row").agg(F.sum(F.col("k") * F.col("score")).alias("rest"))
+    rows = rows.drop("tail", "lost").join(rest, "row", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
+    return rows.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

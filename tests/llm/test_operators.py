@@ -387,6 +387,18 @@ def test_scores_with_a_bounded_table(docs):
     assert all(s < 0 for _, s in small) and [i for i, _ in full] == [i for i, _ in small]
 
 
+def test_scores_keep_every_gram(spark, docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = Counter(k for i, t in rows if not ctw.held_out(i) for k in ctw.gram_keys([t], 3)[0].tolist())
+    every = np.unique(ctw.gram_keys([t for _, t in rows], 3)[0])
+    scores = dict(zip(every.tolist(), ctw.weighted_log10(every, np.array([found[g] for g in every.tolist()]), 3).tolist(), strict=True))
+    want = sorted(((str(i), sum(scores[g] for g in ctw.gram_keys([t], 3)[0].tolist())) for i, t in rows))
+    for most in (0, 300, ctw.GRAMS):
+        got = sorted((str(r["doc_id"]), r["score"]) for r in ctw.score_texts(docs, depth=3, most=most).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-9)
+
+
 # ---------------------------------------------------------------- packing
 
 
