@@ -30,6 +30,12 @@ def query(sql: str | None = None):
     return add
 
 
+def whole(name: str, part: str) -> str:
+    """The SQL of a query that reads a part of its table, without that part's condition."""
+    assert part in ORACLE_SQL[name]
+    return ORACLE_SQL[name].replace(part, "")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -380,6 +386,11 @@ def candidate_pairs(spark, sf_dir):
     return align.candidate_pairs(part_mentions(spark, sf_dir).filter("mention_id < '000000400'")).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(whole("candidate_pairs", " WHERE p_partkey < 400"))
+def candidate_pairs_all(spark, sf_dir):
+    return align.candidate_pairs(part_mentions(spark, sf_dir)).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query("""SELECT lpad(a.p_partkey::VARCHAR, 9, '0') AS a, lpad(b.p_partkey::VARCHAR, 9, '0') AS b, CASE WHEN a.p_type <> b.p_type THEN 'variant' ELSE 'identifier' END AS reason
 FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE a.p_type <> b.p_type OR a.p_brand <> b.p_brand""")
 def conflict_pairs(spark, sf_dir):
