@@ -737,8 +737,17 @@ SELECT 'nodes' AS part, (SELECT count(*) FROM customer WHERE c_custkey < 200) +
 UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)
 UNION ALL SELECT 'facts', (SELECT count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)) + (SELECT count(*) FROM (SELECT DISTINCT p_brand, p_type FROM part))""")
 def graph_build(spark, sf_dir):
+    return graph_sizes(spark, sf_dir, "c_custkey < 200")
+
+
+@query(whole("graph_build", " WHERE o_custkey < 200").replace(" WHERE c_custkey < 200", ""))
+def graph_build_all(spark, sf_dir):
+    return graph_sizes(spark, sf_dir)
+
+
+def graph_sizes(spark, sf_dir, customers: str = "true"):
     # parts of one brand are one entity
-    c = table(spark, sf_dir, "customer").filter("c_custkey < 200").select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.col("c_name").alias("name"))
+    c = table(spark, sf_dir, "customer").filter(customers).select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.col("c_name").alias("name"))
     p = table(spark, sf_dir, "part")
     m = c.unionByName(p.select(extract.entity("P", "p_partkey").alias("mention_id"), F.lit("Product").alias("type"), F.col("p_name").alias("name")))
     m = m.select("*", F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("has_identifier"), F.lit(False).alias("alias_declared"))
@@ -839,7 +848,16 @@ def run_selection(spark, sf_dir):
 @query("""WITH e AS (SELECT event_type AS qid, event_id, value FROM events WHERE event_id < 400)
 SELECT a.event_id AS id, CASE WHEN a.qid = 'error' AND b.qid = 'purchase' THEN true WHEN a.qid = 'click' THEN NULL ELSE false END AS fits FROM e a JOIN e b ON b.event_id = a.event_id + 1""")
 def relation_types(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id < 400").select("event_id", "event_type")
+    return typed_relations(table(spark, sf_dir, "events").filter("event_id < 400"))
+
+
+@query(whole("relation_types", " WHERE event_id < 400"))
+def relation_types_all(spark, sf_dir):
+    return typed_relations(table(spark, sf_dir, "events"))
+
+
+def typed_relations(events):
+    e = events.select("event_id", "event_type")
     pairs = e.join(e.select((F.col("event_id") - 1).alias("event_id"), F.col("event_type").alias("next")), "event_id")
     p = F.when(F.col("event_type") == "click", "custom").otherwise("uses")
     s = F.when(F.col("event_type") == "error", "Actor").otherwise("Event")

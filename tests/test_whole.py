@@ -24,3 +24,10 @@ def check(spark, duck, name):
 def test_candidate_pairs(spark, duck):
     check(spark, duck, "candidate_pairs_all")
     assert QUERIES["candidate_pairs_all"](spark, SF).select("a").distinct().count() > 399
+
+
+@pytest.mark.parametrize("name", ["graph_build_all", "relation_types_all"])
+def test_graph_and_types(spark, duck, name):
+    check(spark, duck, name)
+    part, all_ = (plain(QUERIES[n](spark, SF).toPandas()) for n in (name.removesuffix("_all"), name))
+    assert part != all_
