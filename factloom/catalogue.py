@@ -430,8 +430,17 @@ def hop_sql(i: int) -> str:
  g AS (SELECT qid, nodes, es, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, len(es), nodes, es) AS rank FROM f WHERE r = 1)
 SELECT qid, rank, array_to_string(nodes, '/') AS nodes, score FROM g WHERE rank <= 6""")
 def beam_paths(spark, sf_dir):
+    return supplier_paths(spark, sf_dir, "s_suppkey < 6")
+
+
+@query(whole("beam_paths", " WHERE s_suppkey < 6"))
+def beam_paths_all(spark, sf_dir):
+    return supplier_paths(spark, sf_dir)
+
+
+def supplier_paths(spark, sf_dir, suppliers: str = "true"):
     weight = F.when(F.col("predicate") == "located_in", 2.0).when(F.col("predicate") == "belongs_to", 1.3).otherwise(0.4)
-    seeds = table(spark, sf_dir, "supplier").filter("s_suppkey < 6").select(F.col("s_suppkey").alias("qid"), extract.entity("S", "s_suppkey").alias("node"), (10.0 + F.col("s_suppkey")).alias("score"))
+    seeds = table(spark, sf_dir, "supplier").filter(suppliers).select(F.col("s_suppkey").alias("qid"), extract.entity("S", "s_suppkey").alias("node"), (10.0 + F.col("s_suppkey")).alias("score"))
     out = graph.beam_paths(graph.adjacency(geo_edges(spark, sf_dir)), seeds, 1.25 * weight - 0.12 * F.log1p(F.col("degree").cast("double")))
     return out.select("qid", F.col("rank").cast("long").alias("rank"), F.array_join("nodes", "/").alias("nodes"), "score")
 
@@ -443,12 +452,21 @@ def beam_paths(spark, sf_dir):
  e2 AS ((SELECT DISTINCT qid, dst AS event FROM e1 JOIN links ON src = event) EXCEPT (SELECT qid, event FROM e0 UNION SELECT qid, event FROM e1))
 SELECT 'P' || qid AS qid, 'O' || event AS event, d AS depth FROM (SELECT *, 0 AS d FROM e0 UNION ALL SELECT *, 1 FROM e1 UNION ALL SELECT *, 2 FROM e2)""")
 def event_components(spark, sf_dir):
+    return part_events(spark, sf_dir, "p_partkey < 5", "l_partkey < 5")
+
+
+@query(whole("event_components", " WHERE p_partkey < 5"))
+def event_components_all(spark, sf_dir):
+    return part_events(spark, sf_dir)
+
+
+def part_events(spark, sf_dir, parts: str = "true", lines: str = "true"):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    affects = li.filter("l_partkey < 5").select(extract.entity("O", "l_orderkey").alias("source"), extract.entity("P", "l_partkey").alias("target"), F.lit("affects").alias("predicate")).distinct()
+    affects = li.filter(lines).select(extract.entity("O", "l_orderkey").alias("source"), extract.entity("P", "l_partkey").alias("target"), F.lit("affects").alias("predicate")).distinct()
     follows = o.select(extract.entity("O", "o_orderkey").alias("source"), F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("n"), F.lit("reported_cause").alias("predicate")).filter("n is not null")
     edges = affects.unionByName(follows.select("source", extract.entity("O", "n").alias("target"), "predicate")).withColumn("edge_id", F.concat("source", F.lit(">"), "target"))
     nodes = o.select(extract.entity("O", "o_orderkey").alias("id"), F.lit("Event").alias("type"))
-    targets = table(spark, sf_dir, "part").filter("p_partkey < 5").select(extract.entity("P", "p_partkey").alias("qid"), extract.entity("P", "p_partkey").alias("node"))
+    targets = table(spark, sf_dir, "part").filter(parts).select(extract.entity("P", "p_partkey").alias("qid"), extract.entity("P", "p_partkey").alias("node"))
     return graph.event_neighbourhood(graph.adjacency(edges), nodes, targets)
 
 

@@ -31,3 +31,9 @@ def test_graph_and_types(spark, duck, name):
     check(spark, duck, name)
     part, all_ = (plain(QUERIES[n](spark, SF).toPandas()) for n in (name.removesuffix("_all"), name))
     assert part != all_
+
+
+@pytest.mark.parametrize(("name", "starts"), [("beam_paths_all", 6), ("event_components_all", 5)])
+def test_paths_and_events(spark, duck, name, starts):
+    check(spark, duck, name)
+    assert QUERIES[name](spark, SF).select("qid").distinct().count() > starts
