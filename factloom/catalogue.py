@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -126,15 +127,29 @@ def fact_family_cap(spark, sf_dir):
 @query("""SELECT b.item_id AS qid, d.doc_id, 12 + length(regexp_replace(replace(lower(b.text), 'ß', 'ss'), '\\s+', '', 'g')) AS score
 FROM benchmark b JOIN documents d ON contains(regexp_replace(replace(lower(d.text), 'ß', 'ss'), '\\s+', '', 'g'), regexp_replace(replace(lower(b.text), 'ß', 'ss'), '\\s+', '', 'g'))""")
 def entity_linking(spark, sf_dir):
-    # labels meet texts under the label's first word, so only texts that hold it are compared
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("label"))
-    inner = lambda c: F.filter(F.split(T.fold(c), r"\s+"), lambda w: w != "")
-    key = F.element_at(F.array_sort(F.array_distinct(F.slice(inner(F.col("label")), 2, 1000)), lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)), 1)
-    labels = bench.withColumn("word", key).withColumn("n", T.norm(F.col("label")))
-    words = docs.select("doc_id", F.explode(F.array_distinct(inner(F.col("text")))).alias("word")).join(F.broadcast(labels.select("word").distinct()), "word", "left_semi")
-    pairs = words.join(labels, "word").select("doc_id", "qid", "n").join(docs, "doc_id")
-    return pairs.filter(F.contains(T.norm(F.col("text")), F.col("n"))).select("qid", "doc_id", (12 + F.length("n")).cast("long").alias("score"))
+    return linked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("label")))
+
+
+def linked(docs, bench, anchor: int = 16):
+    # labels meet texts under the label's first characters, which any text that contains it has
+    labels = bench.filter("label is not null").select("qid", T.norm(F.col("label")).alias("n")).withColumn("anchor", F.substring("n", 1, anchor))
+    texts = docs.filter("text is not null").select("doc_id", T.norm(F.col("text")).alias("t"))
+    anchors = docs.sparkSession.sparkContext.broadcast({r["anchor"] for r in labels.select("anchor").distinct().collect()})
+
+    def meet(found):
+        known = anchors.value
+        sizes = {len(x) for x in known}
+        for b in found:
+            for i in range(b.num_rows):
+                t = b.column(1)[i].as_py()
+                hits = [x for n in sizes for x in known.intersection(t[j : j + n] for j in range(len(t) - n + 1))]
+                if hits:
+                    row = b.slice(i, 1).take([0] * len(hits))
+                    yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array(hits, pa.string())], names=["doc_id", "t", "anchor"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    pairs = texts.mapInArrow(meet, f"doc_id {kind}, t string, anchor string").join(labels, "anchor")
+    return pairs.filter(F.contains("t", "n")).select("qid", "doc_id", (12 + F.length("n")).cast("long").alias("score"))
 
 
 # ---------------------------------------------------------------- units and routing
