@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: ASCII white space; a word is a longest run of other characters. bytes.split() splits at exactly these.
 SPACES = " \t\n\x0b\x0c\r"
+#: Bytes of texts that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -22,6 +24,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bytes of an Arrow batch to ``BATCH_BYTES``: a batch stands several times in the
+    memory of an executor and its workers, whatever the length of the texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    told = spark.conf.get(key).lower()
+    size = int(told.rstrip("bkmg")) << {"k": 10, "m": 20, "g": 30}.get(told.rstrip("b")[-1], 0)
+    if size > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a
     temporary folder in local mode (one machine, as in tests) and the warehouse on a cluster."""
@@ -70,11 +82,23 @@ def release() -> None:
         pass
 
 
+def return_large() -> None:
+    """Let the C library map arrays over 256 KB one by one, so that each goes back when it is freed, and
+    keep one heap instead of one for each thread."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 256 << 10)  # M_MMAP_THRESHOLD
+        libc.mallopt(-8, 1)  # M_ARENA_MAX
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def lean(run):
     """``run`` for mapInArrow, which leaves a small worker behind: workers outlive their tasks, beside
     the executor's own memory."""
 
     def wrapped(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return_large()
         yield from run(found)
         release()
 

@@ -7,8 +7,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from factloom.llm.common import cut
+from factloom.llm.common import cut, lean
+
+#: Nodes of edges that a task holds at once, about 200 bytes each.
+NODES = 300_000
 
 
 class Forest:
@@ -39,22 +43,32 @@ class Forest:
 
 def spanning(edges: DataFrame) -> DataFrame:
     """Each partition's edges as stars with the same components: (a, b) with b < a."""
+    kind = edges.schema["a"].dataType
+    item = to_arrow_type(kind)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
+
+        def told() -> Iterator[pa.RecordBatch]:
+            nodes = [x for x in forest.up if forest.find(x) != x]
+            for i in range(0, len(nodes), 50_000):
+                part = nodes[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, item), pa.array([forest.find(x) for x in part], item)], names=["a", "b"])
+
         for batch in found:
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 forest.union(a, b)
-        nodes = [x for x in forest.up if forest.find(x) != x]
-        for i in range(0, len(nodes), 50_000):
-            part = nodes[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([forest.find(x) for x in part], pa.int64())], names=["a", "b"])
+            if len(forest.up) > NODES:
+                yield from told()
+                forest.up.clear()
+        yield from told()
 
-    return edges.select("a", "b").mapInArrow(run, "a long, b long")
+    return edges.select("a", "b").mapInArrow(lean(run), f"a {kind.simpleString()}, b {kind.simpleString()}")
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node with an edge other than to itself; root: the component's smallest node.
+    Nodes may be of any type that has an order.
 
     Rounds of large and small stars: each links what is left to its smallest neighbour, until all edges
     point from a node to its root. An edge table is written each round, so lineage stays short.
@@ -67,7 +81,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     def state(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    now = cut(spanning(edges.filter(F.col("a") != F.col("b"))), "edges")
+    now = cut(edges.filter(F.col("a") != F.col("b")).select("a", "b"), "edges")  # the task that made them ends before the next worker starts
+    now = cut(spanning(now), "edges")
     seen = state(now)
     if not seen[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

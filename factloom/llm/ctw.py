@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, texts_of
+from factloom.llm.common import cut, lean, small_batches, texts_of
 
 DEPTH = 5
 #: Frequent grams that every task holds, 32 bytes each; the others are joined.
@@ -314,6 +314,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte (the
     code length over n_bytes, the end included), a row for each row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     words = cut(word_counts(docs), "word-counts")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from factloom.llm.common import boxed, lean, shingle_hashes, texts_of, unboxed, word_hashes, words_of
+from factloom.llm.common import boxed, lean, shingle_hashes, small_batches, texts_of, unboxed, word_hashes, words_of
 
 SHINGLE = 5
 RADIUS = 15
@@ -130,6 +130,7 @@ class Items:
 
 def item_blocks(bench: DataFrame) -> Iterator[Items]:
     """The items in blocks of bounded size, in a fixed order."""
+    small_batches(bench.sparkSession)
     rows: list[tuple[int, str]] = []
     size = 0
     for r in bench.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():

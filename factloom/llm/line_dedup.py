@@ -29,17 +29,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import bitmap_of, boxed, cut, lean, may_hold, texts_of, unboxed
+from factloom.llm.common import bitmap_of, boxed, cut, lean, may_hold, small_batches, texts_of, unboxed
 from factloom.llm.components import Forest, connected_components
 
 TAU = 2
 SHORTEST = 30
+#: Names of lines that a task remembers, about 100 bytes each; it may pass a line on again after that.
+KEEP = 300_000
 #: Characters of a region that one task joins.
 LEAF = 20_000_000
 
 
-def name_of(line: str) -> int:
-    """64 bits that name a line."""
+def name_of(line: str) -> bytes:
+    """128 bits that name a line: lines of one name are equal."""
+    return xxhash.xxh3_128_digest(line.encode())
+
+
+def mark_of(line: str) -> int:
+    """64 bits under which a line looks for others; lines that share them by chance only share a region."""
     return xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63)
 
 
@@ -160,23 +167,23 @@ def line_rows(docs: DataFrame) -> DataFrame:
                     place.append(at)
                     name.append(name_of(s))
             rows = pa.array(who, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(place, pa.int32()), pa.array(name, pa.int64())], names=["doc_id", "t", "line", "name"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(place, pa.int32()), pa.array(name, pa.binary())], names=["doc_id", "t", "line", "name"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(lean(run), f"doc_id {kind}, t long, line int, name long")
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(lean(run), f"doc_id {kind}, t long, line int, name binary")
 
 
 def segment_keys(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
-    """key, name: the substrings of every long line; the last bit of key tells its own segments."""
+    """key, mark: the substrings of every long line; the last bit of key tells its own segments."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         shapes: dict[int, list] = {}
         digest = xxhash.xxh3_64_intdigest
         for b in found:
-            keys, names, counts = [], [], []
+            keys, marks, counts = [], [], []
             for t in texts_of(b):
                 for _, s in lines_of(t):
-                    if len(s) < shortest or (k := name_of(s)) in seen:
+                    if len(s) < shortest or (k := mark_of(s)) in seen:
                         continue
                     seen.add(k)
                     if len(s) not in shapes:
@@ -185,65 +192,69 @@ def segment_keys(docs: DataFrame, tau: int, shortest: int) -> DataFrame:
                         shapes[len(s)] = [(at, at + n, length * (tau + 1) + seg, indexed) for length, seg, at, n, indexed in probes(len(s), tau, shortest)]
                     found_ = [digest(s[x:z], seed) & ~1 | own for x, z, seed, own in shapes[len(s)]]
                     keys += found_
-                    names.append(k)
+                    marks.append(k)
                     counts.append(len(found_))
-            if len(seen) > 1_000_000:
+            if len(seen) > KEEP:
                 seen.clear()
             if keys:
                 key = np.array(keys, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(np.array(names, np.int64), counts))], names=["key", "name"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(np.array(marks, np.int64), counts))], names=["key", "mark"])
 
-    return docs.select("text").mapInArrow(lean(run), "key long, name long")
+    return docs.select("text").mapInArrow(lean(run), "key long, mark long")
 
 
 def meeting_lines(keys: DataFrame) -> DataFrame:
-    """(a, b): lines that meet under a key, each with the smallest that has it as a segment."""
+    """(a, b): marks of lines that meet under a key, each with the smallest that has it as a segment."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [[], []]
+        last, leader = None, 0  # the key of the row before, and its leader
         for b in found:
-            for c, x in zip(cols, b.columns, strict=True):
-                c.append(x.to_numpy())
-        if not cols[0]:
-            return
-        key, name = map(np.concatenate, cols)
-        order = np.lexsort((name, key))
-        key, name = key[order], name[order]
-        own, key = key & 1 == 1, key >> 1
-        first = np.r_[True, key[1:] != key[:-1]]
-        group = np.cumsum(first) - 1
-        leader = np.full(group[-1] + 1, np.iinfo(np.int64).max)
-        np.minimum.at(leader, group[own], name[own])
-        has = np.zeros(group[-1] + 1, bool)
-        has[group[own]] = True
-        keep = has[group] & (leader[group] != name)
-        pairs = np.unique(np.stack([name[keep], leader[group][keep]], 1), axis=0)
-        for i in range(0, len(pairs), 100_000):
-            part = pairs[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["a", "b"])
-
-    return keys.repartition(F.shiftright("key", 1)).mapInArrow(lean(run), "a long, b long")
+            if not b.num_rows:
+                continue
+            key, mark = b.column(0).to_numpy(), b.column(1).to_numpy()
+            own, key = key & 1 == 1, key >> 1
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            # sorted by (key, own first, mark): a group is led by its first row if that has the key as a segment
+            lead = np.where(own[first], mark[first], -1)
+            led = own[first]
+            if key[0] == last:
+                lead[0], led[0] = (leader, True) if leader is not None else (-1, False)
+            last, leader = key[-1], lead[-1] if led[-1] else None
+            sizes = np.diff(np.append(first, len(key)))
+            lead, led = np.repeat(lead, sizes), np.repeat(led, sizes)
+            keep = np.flatnonzero(led & (lead != mark))
+            if len(keep):
+                pairs = np.unique(np.stack([mark[keep], lead[keep]], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    own = F.col("key").bitwiseAND(1)
+    dealt = keys.repartition(F.shiftright("key", 1)).sortWithinPartitions(F.shiftright("key", 1), own.desc(), "mark")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def region_lines(docs: DataFrame, wanted: np.ndarray, shortest: int) -> DataFrame:
-    """name, s: the long lines that the bitmap may hold, once per task."""
+    """mark, name, s: the long lines whose mark the bitmap may hold, about once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for b in found:
+            if len(seen) > KEEP:
+                seen.clear()
             lines = [s for t in texts_of(b) for _, s in lines_of(t) if len(s) >= shortest]
-            names = np.array([name_of(s) for s in lines], np.int64)
-            out = {k: s for k, s, hit in zip(names.tolist(), lines, may_hold(shared.value, names).tolist(), strict=True) if hit and k not in seen}
+            marks = np.array([mark_of(s) for s in lines], np.int64)
+            hits = np.flatnonzero(may_hold(shared.value, marks)).tolist() if lines else []
+            out = {k: i for i in hits if (k := name_of(lines[i])) not in seen}
             seen.update(out)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.string())], names=["name", "s"])
+                arrays = [pa.array(marks[list(out.values())]), pa.array(list(out), pa.binary()), pa.array([lines[i] for i in out.values()], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["mark", "name", "s"])
 
-    return docs.select("text").mapInArrow(lean(run), "name long, s string")
+    return docs.select("text").mapInArrow(lean(run), "mark long, name binary, s string")
 
 
 def region_links(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
-    """(a, b): stars of the copies inside each region; lines: region, name, s."""
+    """(a, b): names, stars of the copies inside each region; lines: region, name, s."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, own = None, {}
@@ -252,7 +263,7 @@ def region_links(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
             names = sorted(own)
             root = join_lines([own[k] for k in names], tau, shortest)
             hits = [i for i, r in enumerate(root) if r != i]
-            return pa.RecordBatch.from_arrays([pa.array([names[i] for i in hits], pa.int64()), pa.array([names[root[i]] for i in hits], pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([names[i] for i in hits], pa.binary()), pa.array([names[root[i]] for i in hits], pa.binary())], names=["a", "b"])
 
         for b in found:
             for r, k, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -264,15 +275,15 @@ def region_links(lines: DataFrame, tau: int, shortest: int) -> DataFrame:
         if len(own) > 1:
             yield told()
 
-    return lines.repartition("region").sortWithinPartitions("region").select("region", "name", "s").mapInArrow(lean(run), "a long, b long")
+    return lines.repartition("region").sortWithinPartitions("region").select("region", "name", "s").mapInArrow(lean(run), "a binary, b binary")
 
 
 def near_copies(docs: DataFrame, tau: int, shortest: int, leaf: int) -> DataFrame:
     """(node, root) of the names of lines with a near copy."""
     met = connected_components(meeting_lines(segment_keys(docs, tau, shortest)))
-    ours = met.select(F.col("node").alias("name"), F.col("root").alias("region"))
-    ours = cut(ours.unionByName(met.select(F.col("root").alias("name"), F.col("root").alias("region")).distinct()), "line-regions")
-    lines = region_lines(docs, bitmap_of(ours, "name"), shortest).join(ours, "name").dropDuplicates(["name"])
+    ours = met.select(F.col("node").alias("mark"), F.col("root").alias("region"))
+    ours = cut(ours.unionByName(met.select(F.col("root").alias("mark"), F.col("root").alias("region")).distinct()), "line-regions")
+    lines = region_lines(docs, bitmap_of(ours, "mark"), shortest).join(ours, "mark").dropDuplicates(["name"])
     lines = cut(lines.select("region", "name", "s"), "region-lines")
     sizes = lines.groupBy("region").agg(F.sum(F.length("s")).alias("n"))
     blocks = F.greatest(F.lit(1), F.ceil(2 * F.col("n") / leaf)).cast("long")
@@ -285,6 +296,7 @@ def near_copies(docs: DataFrame, tau: int, shortest: int, leaf: int) -> DataFram
 def line_classes(docs: DataFrame, tau: int = TAU, shortest: int = SHORTEST, leaf: int = LEAF) -> DataFrame:
     """doc_id, t, line, first_doc, first_line, kept: a row for each line with a word. The class is named
     by its first line; kept tells that line."""
+    small_batches(docs.sparkSession)
     rows = cut(line_rows(docs), "lines")
     roots = near_copies(docs, tau, shortest, leaf).select(F.col("node").alias("name"), "root")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "line").alias("at")

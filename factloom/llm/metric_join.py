@@ -10,9 +10,9 @@ Jaccard distance 0.2 or less. Equal sets are one point.
 2. Inside a region pivots are chosen, distances to them computed, and points go to the Voronoi cell of
    their nearest pivot. The triangle inequality bounds who may be linked across a border: a point is
    copied into the cell of pivot q when d(x, q) <= d(x, nearest) + 0.4, and points at 0.8 or more from
-   all pivots form a cell of their own, with copies of those at 0.6 or more. Cells join recursively.
-   A pair whose points are already connected, or whose distances to a common pivot differ by more than
-   0.2, isn't compared.
+   all pivots form a cell of their own, with copies of those at 0.6 or more. A pivot's own links follow
+   from its distances; cells join recursively, with pivots of their own. Points that are already
+   connected aren't compared. Where windows copy more than cells save, all points become pivots in turn.
 3. Regions of more than ``LEAF`` shingles are first split by the same step over the cluster, with all
    their pivots in a table of bounded size; where that no longer shrinks them, their blocks join pairwise.
 4. Links are stars inside cells; their components are computed over the cluster.
@@ -24,6 +24,7 @@ is the smallest id that isn't null; an empty table gives an empty table; other c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import bitmap_of, boxed, cut, lean, long_list, may_hold, shingle_hashes, texts_of, unboxed, word_hashes, words_of
+from factloom.llm.common import bitmap_of, boxed, cut, lean, long_list, may_hold, shingle_hashes, small_batches, texts_of, unboxed, word_hashes, words_of
 from factloom.llm.components import connected_components
 
 #: Shingles of a region that one task joins: 8 bytes each, a few copies.
@@ -43,8 +44,16 @@ PIVOT_SHINGLES = 1_000_000
 FREQUENT = 1_000_000
 DEPTH = 4
 PIVOTS = 16
+#: Texts that a task remembers, about 200 bytes each; it may pass one on again after that.
+KEEP = 100_000
+#: Shingles that a task gathers before it passes them on.
+GATHER = 3_000_000
 #: Points that share a shingle and are paired; more make a star.
 TOGETHER = 64
+#: Points that no pivot tells apart and that all become pivots; more meet under shingles first.
+DENSE = 512
+#: Pairs that are compared at once.
+TRIED = 20_000
 
 
 def linked(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -88,9 +97,11 @@ def frequent_shingles(docs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
                     seen.add(k)
                     parts.append(shingle_set(t))
                     size += len(parts[-1])
-            if size > 6_000_000:
-                yield told()
-                parts, size = [], 0
+                if size > GATHER:
+                    yield told()
+                    parts, size = [], 0
+            if len(seen) > KEEP:
+                seen.clear()
         if parts:
             yield told()
 
@@ -137,7 +148,7 @@ def point_rows(docs: DataFrame, shared) -> DataFrame:
                 row = (len(s), *point_key(s), k) if len(s) else (0, None, None, k)
                 out.append(row)
                 prefixes.append(prefix_of(s, shared.value) if len(s) else None)
-                if len(known) > 500_000:
+                if len(known) > KEEP:
                     known.clear()
                 known[k] = row
             cols = [pa.array([r[i] for r in out], pa.int64()) for i in range(4)]
@@ -157,21 +168,30 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
     """
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [[], [], []]
+        carry = [np.zeros(0, np.int64)] * 3  # of the last group: its rows, or of a frequent shingle its leader
+        frequent = False
         for b in found:
-            for c, x in zip(cols, b.columns, strict=True):
-                c.append(x.to_numpy())
-        if not cols[0]:
-            return
-        h, n, k = map(np.concatenate, cols)
-        order = np.lexsort((k, n, h))
-        h, n, k = h[order], n[order], k[order]
-        fresh = np.r_[True, (h[1:] != h[:-1]) | (k[1:] != k[:-1])]
-        h, n, k = h[fresh], n[fresh], k[fresh]
+            h, n, k = (np.concatenate([x, c.to_numpy()]) for x, c in zip(carry, b.columns, strict=True))
+            fresh = np.r_[True, (h[1:] != h[:-1]) | (k[1:] != k[:-1])]
+            h, n, k = h[fresh], n[fresh], k[fresh]
+            last = int(np.searchsorted(h, h[-1]))  # rows are sorted by (h, n, k)
+            frequent, before = len(h) - last > TOGETHER or (frequent and not last), frequent
+            if frequent:
+                leader = yield from linked_up(h, n, k, before)
+                carry = [h[-1:], n[-1:], np.array([leader])]
+            else:
+                yield from linked_up(h[:last], n[:last], k[:last], before)
+                carry = [h[last:], n[last:], k[last:]]
+        yield from linked_up(*carry, frequent)
+
+    def linked_up(h: np.ndarray, n: np.ndarray, k: np.ndarray, before: bool) -> Iterator[pa.RecordBatch]:
+        """The pairs and stars of whole groups; ``before`` tells that the first one's shingle is frequent."""
+        if not len(h):
+            return None
         first = np.r_[True, h[1:] != h[:-1]]
         group = np.cumsum(first) - 1
         sizes = np.bincount(group)
-        hot = sizes[group] > TOGETHER
+        hot = (sizes[group] > TOGETHER) | (before & (group == 0))
         # stars
         leads = first | np.r_[True, 100 * n[:-1] < 80 * n[1:]]
         leader = np.maximum.accumulate(np.where(leads, np.arange(len(h)), 0))
@@ -179,7 +199,7 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
         yield from told(np.stack([k[at], k[leader[at]]], 1), np.stack([n[at], n[leader[at]]], 1), True)
         # pairs
         kept = np.flatnonzero(~hot & (sizes[group] > 1))
-        n, k, group = n[kept], k[kept], group[kept]
+        end, n, k, group = k[leader[-1]], n[kept], k[kept], group[kept]
         names, counts = [], []
         for apart in range(1, TOGETHER):
             i = np.flatnonzero((group[apart:] == group[:-apart]) & (100 * n[:-apart] >= 80 * n[apart:]))
@@ -190,6 +210,7 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
             counts.append(np.stack([np.where(low == k[i], n[i], n[i + apart]), np.where(low == k[i], n[i + apart], n[i])], 1))
         if names:
             yield from told(np.concatenate(names), np.concatenate(counts), False)
+        return end
 
     def told(pairs: np.ndarray, n: np.ndarray, hot: bool) -> Iterator[pa.RecordBatch]:
         if len(pairs):
@@ -204,7 +225,8 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array([hot] * len(arrays[0]))], names=["a", "b", "na", "nb", "c", "hot"])
 
     prefix = rows.filter("n > 0").select(F.explode("prefix").alias("h"), "n", F.col("f1").alias("k"))
-    pairs = prefix.repartition("h").mapInArrow(lean(run), "a long, b long, na long, nb long, c long, hot boolean")
+    dealt = prefix.repartition("h").sortWithinPartitions("h", "n", "k")
+    pairs = dealt.mapInArrow(lean(run), "a long, b long, na long, nb long, c long, hot boolean")
     pairs = pairs.groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("c").alias("c"), F.max("hot").alias("hot"))
     least = F.ceil(80 * (F.col("na") + F.col("nb")) / 180 - 1e-9)
     rest = F.greatest(*[F.ceil(80 * F.col(x) / 100) - 1 for x in ("na", "nb")])
@@ -218,6 +240,8 @@ def region_points(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in found:
+            if len(seen) > KEEP:
+                seen.clear()
             keys = b.column(0).to_numpy()
             out = []
             for t, k, hit in zip(texts_of(b), keys.tolist(), may_hold(shared.value, keys).tolist(), strict=True):
@@ -295,31 +319,53 @@ def cells(d: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def join_region(sets: list[np.ndarray], small: int = 48) -> np.ndarray:
-    """For each point, the smallest index that links reach; exact."""
+def join_region(sets: list[np.ndarray], most: int = PIVOTS, dense: int = DENSE) -> np.ndarray:
+    """For each point, the smallest index that links reach; exact.
+
+    The square root of its points, ``most`` at most, are a cell's pivots. They are taken outside the
+    largest component, as two of its points need no look. A pivot's links are known from its distances,
+    so it leaves; the others go to the cells and join there in the same way. Where windows would copy more
+    than cells save, pivots go on leaving until none is left outside the largest component; more than
+    ``dense`` such points meet under their rare shingles instead.
+    """
     region = Region(sets)
     todo = [np.arange(len(sets))]
     while todo:
         members = todo.pop()
-        roots = region.root[members]
-        if len(members) < 2 or (roots == roots[0]).all():
-            continue
-        if len(members) <= small:
-            one_by_one(region, members)
+        if (d := pivot_step(region, members, most)) is None:
             continue
-        chosen = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
-        c = region.common([region.set_of(i) for i in chosen], members)
-        at = np.argwhere(linked(c, region.n[members][:, None], region.n[chosen][None, :]))
-        region.merge(np.stack([members[at[:, 0]], chosen[at[:, 1]]], 1))
-        parts = cells(distances(c, region.n[members], region.n[chosen]))
-        if sum(len(p) ** 2 for p in parts) > 0.5 * len(members) ** 2:  # copies would outgrow what splitting saves
-            by_prefix(region, members)
-        else:
+        members, d = members[d[0]], d[1]
+        parts = cells(d) if len(members) else []
+        if sum(len(p) ** 2 for p in parts) <= 0.5 * len(members) ** 2:
             todo += [members[p] for p in parts if len(p) > 1]
+        elif len(members) <= dense:
+            todo.append(members)
+        else:
+            by_prefix(region, members, most)
     return region.root
 
 
-def by_prefix(region: Region, members: np.ndarray) -> None:
+def pivot_step(region: Region, members: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Choose pivots and link them; which members are left, and their distances to the pivots. None where
+    all are connected."""
+    roots = region.root[members]
+    values, counts = np.unique(roots, return_counts=True)
+    if len(values) < 2:
+        return None
+    outside = np.flatnonzero(roots != values[counts.argmax()])
+    k = min(most, len(outside), math.isqrt(len(members)))
+    at = outside[np.linspace(0, len(outside) - 1, k).astype(int)]
+    chosen = members[at]
+    c = region.common([region.set_of(i) for i in chosen], members)
+    n, m = region.n[members], region.n[chosen]
+    hits = np.argwhere(linked(c, n[:, None], m[None, :]))
+    region.merge(np.stack([members[hits[:, 0]], chosen[hits[:, 1]]], 1))
+    left = np.ones(len(members), bool)
+    left[at] = False
+    return left, distances(c, n, m)[left]
+
+
+def by_prefix(region: Region, members: np.ndarray, most: int) -> None:
     """Points that no pivot tells apart: they meet under the first shingles in the order of how many of
     them hold each. Pairs under rare ones are compared if their common ones can suffice; the points under
     a frequent one take turns as pivots."""
@@ -338,7 +384,10 @@ def by_prefix(region: Region, members: np.ndarray) -> None:
     counts = np.bincount(group)
     hot = counts[group] > TOGETHER
     for g in np.unique(group[hot]):
-        one_by_one(region, members[point[group == g]])
+        ours = members[point[group == g]]
+        while (d := pivot_step(region, ours, most)) is not None:
+            ours = ours[d[0]]
+    prefixes = np.bincount(point, minlength=len(members))
     point, group = point[~hot], group[~hot]
     found = []
     for apart in range(1, TOGETHER):
@@ -353,46 +402,32 @@ def by_prefix(region: Region, members: np.ndarray) -> None:
     a, b = n[pairs[:, 0]], n[pairs[:, 1]]
     # one of two points has its whole prefix before the end of the other's: what is common lies in both
     # prefixes, under rare shingles or frequent ones, or after that prefix
-    frequent = np.bincount(who[np.flatnonzero(first)], minlength=len(members))
     seen = np.bincount(point, minlength=len(members))
-    extra = np.minimum((frequent - seen)[pairs[:, 0]], (frequent - seen)[pairs[:, 1]])
+    extra = np.minimum((prefixes - seen)[pairs[:, 0]], (prefixes - seen)[pairs[:, 1]])
     rest = np.maximum(a - size[pairs[:, 0]], b - size[pairs[:, 1]])
     pairs = pairs[180 * (c + extra + rest) >= 80 * (a + b)]
-    for x, y in pairs.tolist():
-        i, j = members[x], members[y]
-        if region.root[i] != region.root[j]:
-            both = len(np.intersect1d(region.set_of(i), region.set_of(j), assume_unique=True))
-            if linked(both, region.n[i], region.n[j]):
-                region.merge(np.array([[i, j]]))
+    starts, ids = np.cumsum(n) - n, at  # shingles as small numbers, ascending within a point
+    while len(pairs):
+        now, pairs = pairs[:TRIED], pairs[TRIED:]
+        both = pair_overlaps(ids, starts, n, now)
+        hits = now[linked(both, n[now[:, 0]], n[now[:, 1]])]
+        region.merge(members[hits])
+        roots = region.root[members]
+        pairs = pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]
 
 
-def one_by_one(region: Region, members: np.ndarray) -> None:
-    """Each point outside the largest component is a pivot in turn; what a former pivot's distances rule
-    out by the triangle inequality isn't compared. Pairs inside the largest component need no look."""
-    left = np.ones(len(members), bool)
-    past: list[np.ndarray] = []
-    while True:
-        roots = region.root[members]
-        values, counts = np.unique(roots, return_counts=True)
-        open_ = np.flatnonzero(left & (roots != values[counts.argmax()]))
-        if not len(open_):
-            return
-        i = open_[0]
-        left[i] = False
-        may = roots != roots[i]
-        for d in past[-8:]:
-            may &= np.abs(d - d[i]) <= 0.2 + 1e-9
-        others = np.flatnonzero(may)
-        if not len(others):
-            continue
-        full = len(past) < 8
-        look = np.arange(len(members)) if full else others
-        c = region.common([region.set_of(members[i])], members[look])[:, 0]
-        n, m = region.n[members[look]], region.n[members[i]]
-        if full:
-            past.append(1 - c / (n + m - c))
-        hits = look[linked(c, n, m)]
-        region.merge(np.stack([members[hits], np.full(len(hits), members[i])], 1))
+def pair_overlaps(ids: np.ndarray, starts: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """How many numbers both points of each pair hold; a point's are ascending."""
+
+    def keys(points: np.ndarray) -> np.ndarray:
+        sizes = n[points]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(starts[points], sizes)
+        return np.repeat(np.arange(len(points)), sizes) * (int(ids.max()) + 1) + ids[at]
+
+    x, y = keys(pairs[:, 0]), keys(pairs[:, 1])
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    return np.bincount(y[x[at] == y] // (int(ids.max()) + 1), minlength=len(pairs))
 
 
 # ---------------------------------------------------------------- over the cluster
@@ -532,6 +567,7 @@ def link_points(points: DataFrame, leaf: int = LEAF) -> DataFrame:
 def labelled_points(docs: DataFrame, leaf: int, frequent: int) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, n, f1, f2, t) and the components (f1, f2, root) of their points."""
     spark = docs.sparkSession
+    small_batches(spark)
     order = spark.sparkContext.broadcast(frequent_shingles(docs, frequent))
     rows = cut(point_rows(docs, order), "points")
     regions = cut(connected_components(candidate_edges(rows)), "regions")
@@ -541,7 +577,7 @@ def labelled_points(docs: DataFrame, leaf: int, frequent: int) -> tuple[DataFram
     named = named.unionByName(regions.select(F.col("root").alias("f1"), F.col("root").alias("region")).distinct())
     ours = cut(points.join(named, "f1").select("f1", "f2", "cid", "t", F.col("region").cast("string").alias("region")), "region-points")
     found = region_points(docs, bitmap_of(ours, "t"))
-    found = found.join(ours.select("t", "region", "cid"), "t").select("region", "cid", "n", "s")
+    found = found.join(ours.select("t", "f1", "f2", "region", "cid"), ["t", "f1", "f2"]).select("region", "cid", "n", "s")
     links = link_points(cut(found, "region-sets"), leaf)
     roots = connected_components(links).select(F.col("node").alias("cid"), "root")
     labelled = points.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, long_list, texts_of
+from factloom.llm.common import cut, lean, long_list, small_batches, texts_of
 from factloom.llm.tokens import encoder
 
 STRIPE_BYTES = 32 << 20
@@ -30,6 +30,7 @@ WORDS = 900_000
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
     """doc_id, pos (place in its partition) and ids, in the order of ``docs``' partitions."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

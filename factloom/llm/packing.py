@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, release, texts_of
+from factloom.llm.common import cut, lean, release, small_batches, texts_of
 from factloom.llm.tokens import encoder, forget
 
 CAPACITY = 1024
@@ -186,6 +186,7 @@ def slots(bins: Bins) -> dict[int, list[tuple[int, int, int]]]:
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, words: int = WORDS) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, and for ranking the task's number
     (task) and the piece's rank among those of its length in the task (rank)."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, texts_of
+from factloom.llm.common import cut, lean, small_batches, texts_of
 from factloom.llm.tokens import encoder
 
 #: Frequent pre-tokens that every task holds: about 100 bytes each.
@@ -110,6 +110,7 @@ def head_of(pieces: DataFrame, most: int) -> tuple[dict[str, int], float]:
 def count_tokens(docs: DataFrame, tokenizer: str, head: int = HEAD, over: int = OVER) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > ``over``), a row for each row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     pieces = cut(counted_pieces(distinct_pretokens(docs, tokenizer), tokenizer), "pieces")
     known, least = head_of(pieces, head)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import lean, texts_of
+from factloom.llm.common import lean, small_batches, texts_of
 
 TRAIN_ROWS = 20_000
 FEATURES = 4096
@@ -119,6 +119,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int = GRADES, most: i
 def severity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, most: int = FEATURES) -> DataFrame:
     """doc_id, severity (expected grade), grade (thresholds that are more likely passed than not) and
     toxic (grade of 1 or more), a row for each row of ``docs``."""
+    small_batches(docs.sparkSession)
     model = fit(*sample_of(docs, labels, train_rows), most=most)
     known = dict(zip(model[0].tolist(), model[1].tolist(), strict=True)) if model else {}
     theta = model[2] if model else np.full(GRADES - 1, np.inf)

@@ -227,8 +227,8 @@ def test_regions_join_exactly(seed):
         if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
             a, b = find(i), find(j)
             up[max(a, b)] = min(a, b)
-    for small in (2, 48):
-        assert metric_join.join_region(sets, small).tolist() == [find(i) for i in range(len(sets))]
+    for most, dense in ((2, 0), (3, 512), (16, 20)):
+        assert metric_join.join_region(sets, most, dense).tolist() == [find(i) for i in range(len(sets))]
 
 
 def test_keep_one(docs, empty):
