@@ -99,6 +99,23 @@ def test_token_counts(docs, empty, head):
     assert token_counts.count_tokens(empty, tokenizer(BYTES), head).count() == 0
 
 
+def test_safe_characters_split_as_in_the_library():
+    split = token_counts.Splitter(tokenizer(BYTES))
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]):
+        if split.safe(c):
+            t = f"a{c}1{c}! {c}\n{c} "
+            assert split.fast(t) == [t[a:z] for _, (a, z) in split.cut(t)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.lists(st.sampled_from([*BITS, "\u0558", "\u088f", "\ua7ce", "\u209d", "\U00010940"]), max_size=12).map("".join), max_size=8))
+def test_pretokens_have_the_pieces_of_their_text(texts):
+    split, enc = token_counts.Splitter(tokenizer(BYTES)), encoder(tokenizer(BYTES))
+    for t in texts:
+        parts = split(t)
+        assert "".join(parts) == t and sum(len(x) // 4 for x in enc.plain(parts)) == len(ids_of(BYTES, t))
+
+
 # ---------------------------------------------------------------- quality
 
 
