@@ -8,14 +8,18 @@ Only lengths decide how documents share sequences, so the plan is made from the
 2. For the few sizes the configurations that fill a sequence are optimised: a linear program solved by
    column generation, rounded down, and the rest by best fit.
 3. Actual lengths replace the rounded ones, run by run.
-4. Small lengths go, longest first, where they fit best; what is left opens new sequences.
+4. What is left over and small goes, longest first, where it fits best, or opens new sequences.
+5. The sequences that are filled least are dissolved, several shares of them in turn, and their lengths packed
+   again in that way. The plan with the fewest sequences stays; dissolving all is best fit alone, so no plan
+   needs more.
 
 The plan is a table of runs: the documents of one length with ranks a to b go to consecutive sequences
 at one offset. Each task looks up its documents' ranks in it; ranks come from counts by task and length.
 
 Defined cases: a null or empty text has the end id alone; repeated rows and null ids are packed row by
-row; an empty table gives an empty table; other columns are ignored; only documents longer than the
-capacity are cut, their first piece being the shorter one.
+row; pieces of one length tie, and take their places in the order of tasks and rows; an empty table gives
+an empty table; other columns are ignored; only documents longer than the capacity are cut, their first
+piece being the shorter one; a very long text is encoded as a whole, in memory of a few times its size.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ CAPACITY = 1024
 #: Lengths of at least this share of the capacity are large.
 LARGE = 1 / 3
 GROUPS = 128
+#: Shares of the sequences that are dissolved and packed again.
+DISSOLVED = (0.0, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0)
 #: Plain words whose ids a worker keeps.
 WORDS = 900_000
 
@@ -142,9 +148,6 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         if m > 0 and config.any():
             whole.append((m, [i for i, k in enumerate(config) for _ in range(k)]))
             left = [a - m * k for a, k in zip(left, config, strict=True)]
-    rest = best_fit([(sizes[i], c) for i, c in enumerate(left) if c], capacity, [])
-    of = {n: i for i, n in enumerate(sizes)}
-    whole += [(m, [of[n] for n in own]) for m, own in rest]
     # 3. actual lengths, the longest first, take the places of their group
     runs = [[list(x) for x in m] for m in members]
     bins: Bins = list(full)
@@ -165,9 +168,28 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
                         runs[g].pop()
             bins.append((step, lengths))
             m -= step
-    # 4. small ones
-    bins = best_fit(small, capacity, bins)
-    return sorted(bins, key=lambda b: (sorted(b[1], reverse=True), b[0]))
+    # 4. what is left and small
+    rest = [(n, c) for m in runs for n, c in m]
+    # 5. the best share
+    plans = [dissolved(bins, share, rest + small, capacity) for share in DISSOLVED]
+    return sorted(min(plans, key=lambda p: sum(m for m, _ in p)), key=lambda b: (sorted(b[1], reverse=True), b[0]))
+
+
+def dissolved(bins: Bins, share: float, more: list[tuple[int, int]], capacity: int) -> Bins:
+    """The bins but for the given share, those filled least, whose lengths are packed again with ``more``."""
+    bins = sorted(bins, key=lambda b: (sum(b[1]), sorted(b[1]), b[0]))
+    out = -int(-share * sum(m for m, _ in bins))
+    items, kept = defaultdict(int), []
+    for m, own in bins:
+        k = min(m, out)
+        out -= k
+        for n in own:
+            items[n] += k
+        if k < m:
+            kept.append((m - k, list(own)))
+    for n, c in more:
+        items[n] += c
+    return best_fit([(n, c) for n, c in items.items() if c], capacity, kept)
 
 
 def slots(bins: Bins) -> dict[int, list[tuple[int, int, int]]]:

@@ -430,7 +430,22 @@ def test_plan_holds_every_length(histogram, groups):
             got[n] += m
     assert got == histogram
     ffd = sum(m for m, _ in packing.best_fit(list(histogram.items()), 64, []))
-    assert sum(m for m, _ in bins) <= 2 * ffd + groups
+    assert sum(m for m, _ in bins) <= ffd
+
+
+@pytest.mark.parametrize("shape", ["middle", "wide", "long tail", "few sizes"])
+def test_plan_needs_no_more_than_best_fit(shape):
+    rng = np.random.default_rng(5)
+    lengths = {
+        "middle": rng.integers(350, 701, 4000),
+        "wide": rng.integers(1, 1025, 4000),
+        "long tail": np.clip(rng.lognormal(5.5, 1, 4000), 1, 1024).astype(int),
+        "few sizes": rng.choice([200, 331, 342, 513, 1000], 4000),
+    }[shape]
+    histogram = Counter(lengths.tolist())
+    bins = packing.plan(histogram, 1024, 64)
+    fitted = sum(m for m, _ in packing.best_fit(list(histogram.items()), 1024, []))
+    assert -(-int(lengths.sum()) // 1024) <= sum(m for m, _ in bins) <= fitted
 
 
 def test_packing(docs, empty):
