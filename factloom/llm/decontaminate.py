@@ -2,18 +2,20 @@
 
 Items and documents are runs of 5-word shingles. For every size that an item has, each window of that
 many shingles in a document gets a 64-bit SimHash. A window whose fingerprint is within ``RADIUS`` of an
-item's differs by at most ``RADIUS // BLOCKS`` bits in one of ``BLOCKS`` blocks, so looking each block up
-in the table of all values that near to an item's block finds all such pairs. Those are verified exactly:
-the weighted Jaccard similarity, a shingle's weight being how often it occurs, must be 0.8 or more.
-Documents that share no shingle with any item have similarity 0 and aren't fingerprinted.
+item's differs by at most ``RADIUS // BLOCKS`` bits in one of ``BLOCKS`` blocks. Per size and block the items
+are sorted by their block's value, and a window looks up all values that near to its own, which finds all such
+pairs. Those are verified exactly: the weighted Jaccard similarity, a shingle's weight being how often it
+occurs, must be 0.8 or more. Windows of which too few shingles stand in any item to reach that similarity
+aren't fingerprinted, so the cost follows the candidates.
 
-Items are sent to the tasks in blocks of at most ``ITEM_SHINGLES`` shingles; each block goes over all
-documents, so any number of items works.
+Items are sent to the tasks in blocks of about ``ITEM_SHINGLES`` shingles; each block goes over all
+documents, so any number of items works; of several, a block's result is written before the next begins.
 
 Defined cases: an item of fewer than five words is one shingle of all its words, one without words
 leaks nowhere; a document shorter than an item is one window; repeated items and rows are judged row by
-row; null ids stay null; empty tables give no leak; other columns are ignored by ``leaks`` and returned
-by ``drop_leaking``.
+row; of equally similar windows the first counts; a very long text is hashed as a whole, in memory of a few
+times its size; null ids stay null; empty tables give no leak; other columns are ignored by ``leaks`` and
+returned by ``drop_leaking``.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from factloom.llm.common import boxed, lean, shingle_hashes, small_batches, texts_of, unboxed, word_hashes, words_of
+from factloom.llm.common import boxed, cut, lean, shingle_hashes, small_batches, texts_of, unboxed, word_hashes, words_of
 
 SHINGLE = 5
 RADIUS = 15
 BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
 ITEM_SHINGLES = 1_000_000
+#: Windows that are looked up at once.
+TOGETHER = 500
 
 #: A byte's bits in eight byte-wide lanes.
 LANES = np.array([sum((i >> k & 1) << 8 * k for k in range(8)) for i in range(256)], np.uint64)
@@ -59,10 +63,15 @@ def fingerprints(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def block_of(prints: np.ndarray, b: int) -> np.ndarray:
+    return (prints >> np.uint64(b * BLOCK_BITS)).astype(np.int64) & ((1 << BLOCK_BITS) - 1)
+
+
 class Items:
-    """A block of items, indexed for the tasks."""
+    """A block of items, indexed for the tasks; ``last`` tells that no other follows."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], last: bool):
+        self.last = last
         self.ids, self.runs, groups = [], [], defaultdict(list)
         for item, text in rows:
             words = word_hashes(words_of(text))
@@ -71,25 +80,27 @@ class Items:
                 groups[min(SHINGLE, len(words)), len(run)].append(len(self.runs))
                 self.ids.append(item)
                 self.runs.append(run)
-        #: (words of a shingle, size) -> items, their fingerprints and the block tables
+        #: (words of a shingle, size) -> items, their fingerprints, and per block their order and sorted values
         self.sizes = {}
         for key, own in groups.items():
             prints = np.array([fingerprints(self.runs[i], key[1])[0] for i in own], np.uint64)
-            tables = np.zeros((BLOCKS, 1 << BLOCK_BITS), bool)
-            for b in range(BLOCKS):
-                block = (prints >> np.uint64(b * BLOCK_BITS)).astype(np.int64) & ((1 << BLOCK_BITS) - 1)
-                tables[b, (block[:, None] ^ NEAR[None, :]).ravel()] = True
-            self.sizes[key] = (np.array(own), prints, np.packbits(tables, axis=1))
+            values = [block_of(prints, b) for b in range(BLOCKS)]
+            orders = [np.argsort(v, kind="stable") for v in values]
+            self.sizes[key] = (np.array(own), prints, [(o, v[o]) for o, v in zip(orders, values, strict=True)])
         self.shingles = {k: np.unique(np.concatenate([self.runs[i] for s, own in groups.items() if s[0] == k for i in own])) for k in {s[0] for s in groups}}
         self.counts = [dict(zip(*(x.tolist() for x in np.unique(r, return_counts=True)), strict=True)) for r in self.runs]
-        self.unpacked: dict = {}
 
-    def tables(self, key) -> np.ndarray:
-        if key not in self.unpacked:
-            if len(self.unpacked) > 64:
-                self.unpacked.clear()
-            self.unpacked[key] = np.unpackbits(self.sizes[key][2], axis=1).astype(bool)
-        return self.unpacked[key]
+    def near(self, key: tuple[int, int], found: np.ndarray) -> np.ndarray:
+        """(window, item) of the fingerprints ``found`` and those of a size that agree in some block but for
+        ``RADIUS // BLOCKS`` bits, each pair once."""
+        pairs = []
+        for b, (order, values) in enumerate(self.sizes[key][2]):
+            look = block_of(found, b)[:, None] ^ NEAR[None, :]
+            low, high = np.searchsorted(values, look, "left"), np.searchsorted(values, look, "right")
+            hits = (high - low).ravel()
+            at = np.repeat(low.ravel() - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
+            pairs.append(np.stack([np.repeat(np.repeat(np.arange(len(found)), len(NEAR)), hits), order[at]], 1))
+        return np.unique(np.concatenate(pairs), axis=0)
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         own = self.counts[item]
@@ -105,25 +116,28 @@ class Items:
                 continue
             run = shingle_hashes(words, k)
             at = np.minimum(np.searchsorted(known, run), len(known) - 1)
-            if not (known[at] == run).any():
+            inside = np.cumsum(np.r_[0, known[at] == run])
+            if not inside[-1]:
                 continue
             for key, (own, prints, _) in self.sizes.items():
                 if key[0] != k:
                     continue
                 size = min(key[1], len(run))
-                found = fingerprints(run, size)
-                tables = self.tables(key)
-                hit = np.zeros(len(found), bool)
-                for b in range(BLOCKS):
-                    hit |= tables[b, (found >> np.uint64(b * BLOCK_BITS)).astype(np.int64) & ((1 << BLOCK_BITS) - 1)]
-                starts = np.flatnonzero(hit)
-                apart = np.bitwise_count(found[starts, None] ^ prints[None, :])
+                enough = least * (size + key[1]) / (1 + least) - 1e-9
+                may = np.flatnonzero(inside[size:] - inside[:-size] >= enough)
+                if not len(may):
+                    continue
+                found = fingerprints(run[may[0] : may[-1] + size], size)[may - may[0]]
                 best: dict[int, tuple] = {}
-                for i, j in np.argwhere(apart <= RADIUS).tolist():
-                    s = int(starts[i])
-                    similar = self.similarity(run[s : s + size], own[j])
-                    if similar >= least and (j not in best or (-similar, s) < best[j][:2]):
-                        best[j] = (-similar, s, int(apart[i, j]))
+                for a in range(0, len(may), TOGETHER):
+                    some = found[a : a + TOGETHER]
+                    pairs = self.near(key, some)
+                    apart = np.bitwise_count(some[pairs[:, 0]] ^ prints[pairs[:, 1]])
+                    for (i, j), d in zip(pairs[apart <= RADIUS].tolist(), apart[apart <= RADIUS].tolist(), strict=True):
+                        s = int(may[a + i])
+                        similar = self.similarity(run[s : s + size], own[j])
+                        if similar >= least and (j not in best or (-similar, s) < best[j][:2]):
+                            best[j] = (-similar, s, d)
                 for j, (similar, s, d) in best.items():
                     yield self.ids[own[j]], s, size + k - 1, -similar, d
 
@@ -137,10 +151,10 @@ def item_blocks(bench: DataFrame) -> Iterator[Items]:
         rows.append((r["item_id"], r["text"]))
         size += len(words_of(r["text"]))
         if size >= ITEM_SHINGLES:
-            yield Items(rows)
+            yield Items(rows, False)
             rows, size = [], 0
     if rows:
-        yield Items(rows)
+        yield Items(rows, True)
 
 
 def leaks(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
@@ -162,7 +176,11 @@ def leaks(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataFrame:
                     arrays = [b.column(0).take(pa.array(who)), pa.array(item, item_type), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(similar), pa.array(apart, pa.int32())]
                     yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"])
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(lean(run), schema))
+        part = docs.select("doc_id", "text").mapInArrow(lean(run), schema)
+        if not block.last:
+            part = cut(part, "leaks")
+            shared.destroy()
+        out = out.unionByName(part)
     return out
 
 
@@ -178,4 +196,7 @@ def drop_leaking(docs: DataFrame, bench: DataFrame, least: float = 0.8) -> DataF
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         rows = rows.mapInArrow(lean(run), rows.schema)
+        if not block.last:
+            rows = cut(rows, "clean")
+            shared.destroy()
     return unboxed(rows, docs)

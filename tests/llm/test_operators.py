@@ -321,10 +321,68 @@ def test_fingerprints_by_definition():
         assert decontaminate.fingerprints(h, size).tolist() == want
 
 
-def test_blocks_find_all_within_the_radius():
-    assert len(set(decontaminate.NEAR.tolist())) == sum(math.comb(16, k) for k in range(4))
-    for r in range(decontaminate.RADIUS + 1):  # some block has at most RADIUS // BLOCKS of r differing bits
-        assert min(r // decontaminate.BLOCKS, decontaminate.RADIUS // decontaminate.BLOCKS) == r // decontaminate.BLOCKS
+def weighted(a, b):
+    a, b = Counter(a), Counter(b)
+    return sum((a & b).values()) / sum((a | b).values())
+
+
+def planted(seed, items=12, copies=30):
+    """Items of several sizes, some of one size, and texts that hold changed copies of them."""
+    rng = np.random.default_rng(seed)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 3000, n)]
+    bench = [words(rng.choice([3, 20, 20, 20, 45, 90, 270])) for _ in range(items)]
+    texts = []
+    for _ in range(copies):
+        w = list(bench[rng.integers(0, items)])
+        for _ in range(rng.integers(0, 1 + len(w) // 25)):
+            w[rng.integers(0, len(w))] = "changed"
+        texts.append(words(rng.integers(0, 60)) + w + words(rng.integers(0, 60)))
+    return bench, texts + [words(80) for _ in range(10)] + [[], ["one"]]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leaks_equal_all_windows(seed):
+    """Within the radius exactly those of all windows and items; of all over the similarity nearly every one."""
+    bench, texts = planted(seed)
+    rows = [(i, " ".join(w)) for i, w in enumerate(bench)]
+    index, got, want, within = decontaminate.Items(rows, True), {}, {}, {}
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) > 4 else [tuple(w)] if w else []
+    for d, w in enumerate(texts):
+        for item, s, n, similar, _ in index.leaks(" ".join(w), 0.8):
+            got[d, item] = (round(similar, 9), s)
+        for i, b in enumerate(bench):
+            g, own = grams(w), grams(b)
+            if len(b) < 5:
+                g = [tuple(w[x : x + len(b)]) for x in range(len(w) - len(b) + 1)]
+            if not g or not own:
+                continue
+            size = min(len(own), len(g))
+            k = min(5, len(b))
+            run, item = (decontaminate.shingle_hashes(decontaminate.word_hashes([x.encode() for x in y]), k) for y in (w, b))
+            if len(w) < k:
+                continue
+            prints, mine = decontaminate.fingerprints(run, size), decontaminate.fingerprints(item, len(own))[0]
+            for s in range(len(g) - size + 1):
+                x = weighted(g[s : s + size], own)
+                if x >= 0.8:
+                    want[d, i] = max(want.get((d, i), (0, 0)), (round(x, 9), -s))
+                    if int(prints[s] ^ mine).bit_count() <= decontaminate.RADIUS:
+                        within[d, i] = max(within.get((d, i), (0, 0)), (round(x, 9), -s))
+    assert got == {k: (x, -s) for k, (x, s) in within.items()}
+    assert len(want) > 15 and len(got) >= 0.97 * len(want)
+
+
+def test_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(7)
+    index = decontaminate.Items([(i, " ".join(f"a{i}b{j}" for j in range(12))) for i in range(300)], True)
+    (key, (_, prints, _)), found = next(iter(index.sizes.items())), []
+    for i in range(200):
+        flips = rng.choice(64, rng.integers(0, decontaminate.RADIUS + 1), replace=False)
+        found.append(int(prints[i]) ^ sum(1 << int(b) for b in flips))
+    found = np.array(found, np.uint64)
+    pairs = set(map(tuple, index.near(key, found).tolist()))
+    apart = np.bitwise_count(found[:, None] ^ prints[None, :])
+    assert {(i, j) for i, j in np.argwhere(apart <= decontaminate.RADIUS).tolist()} <= pairs and len(pairs) < 0.1 * apart.size
 
 
 def test_leaks(spark, docs, empty, monkeypatch):
