@@ -89,11 +89,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         # large star: neighbours above u go to the smallest of u and its neighbours
         e = links(now, True)
-        low = e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).repartition("u")  # a shuffle of its own lets a hub's edges be split
         large = e.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         # small star: u and its smaller neighbours go to the smallest of them
         e = links(large, False)
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        low = e.groupBy("u").agg(F.min("v").alias("m")).repartition("u")
         small = e.join(low, "u").filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = cut(small.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
         if (new := state(now)) == seen:

@@ -70,9 +70,9 @@ def read_tokens(spark: SparkSession, path: str, kind: str = "bigint") -> DataFra
     return spark.read.schema(f"doc_id {kind}, pos bigint, ids array<int>").orc(path)
 
 
-def look_up(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+def look_up(spark: SparkSession, path: str, doc_ids: list, kind: str = "bigint") -> DataFrame:
     """The documents with these ids; files, stripes and row groups without them are not read."""
-    return read_tokens(spark, path).filter(F.col("doc_id").isin(doc_ids))
+    return read_tokens(spark, path, kind).filter(F.col("doc_id").isin(doc_ids))
 
 
 def token_digest(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:

@@ -578,6 +578,32 @@ def test_toxicity_on_held_out_labels(spark):
     assert hits[True, False] <= 0.01 * (hits[True, False] + hits[False, False])
 
 
+# ---------------------------------------------------------------- string ids
+
+
+def test_string_ids(spark, docs):
+    """Ids of another type give the same rows as integers do."""
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 3, "0")))
+    bench = spark.createDataFrame([("i", PASSAGE)], "item_id string, text string")
+    labels = spark.createDataFrame([(f"d{i:03d}", i % 2, i % 3 % 2) for i in range(12)], "doc_id string, quality int, toxic int")
+    name = lambda i: None if i is None else f"d{i:03d}"
+    assert {r["doc_id"] for r in decontaminate.leaks(named, bench).collect()} == {"d005", "d006", "d007", "d008"}
+    path = orc_tokens.write_tokens(named, scratch_path(spark, "t"), tokenizer(WORDS))
+    assert orc_tokens.token_digest(spark, path, "string").count() == docs.count() and orc_tokens.look_up(spark, path, ["d005"], "string").count() == 2
+    assert {r["first_doc"] for r in line_dedup.line_classes(named).filter("doc_id = 'd013'").collect()} == {"d012", "d013"}
+    for op, columns in (
+        (lambda d: token_counts.count_tokens(d, tokenizer(BYTES)), ("n_tokens",)),
+        (metric_join.jaccard_components, ("n_shingles",)),
+        (quality.quality_report, ("n_words", "kept")),
+        (lambda d: ctw.score_texts(d, depth=2), ("n_tokens",)),
+    ):
+        want = sorted(((name(r[0]), *r[1:]) for r in pairs(op(docs), "doc_id", *columns)), key=str)
+        assert pairs(op(named), "doc_id", *columns) == want
+    assert packing.pack(named, tokenizer(BYTES)).count() == packing.pack(docs, tokenizer(BYTES)).count()
+    assert toxicity.severity(named, labels).count() == docs.count()
+    assert urls.judge_urls(named.select(F.col("doc_id").alias("page_id"), F.lit("http://h/").alias("url"))).filter("host = 'h'").count() == docs.count()
+
+
 # ---------------------------------------------------------------- urls
 
 
