@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 
 from factloom.functions import text as T
 from factloom.functions.ids import ident
-from factloom.operators import align, build, entries, extract, graph, search, tables, units
+from factloom.operators import align, build, entries, extract, graph, protocol, retrieve, search, tables, units
 from factloom.plans import context, planner
 from factloom.sources import sinks
+from factloom.sources.scratch import kept
 from factloom.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,12 +34,6 @@ def query(sql: str | None = None):
     return add
 
 
-def whole(name: str, part: str) -> str:
-    """The SQL of a query that reads a part of its table, without that part's condition."""
-    assert part in ORACLE_SQL[name]
-    return ORACLE_SQL[name].replace(part, "")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -353,18 +350,19 @@ def node_display_name(spark, sf_dir):
     return graph.display_names(p.select(F.col("p_brand").alias("entity_id"), F.col("p_name").alias("name"), F.lit(False).alias("has_identifier"), F.lit(False).alias("alias_declared")))
 
 
-@query("""WITH f AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem)
+@query(f"""WITH f AS (SELECT DISTINCT f.s AS s, f.p AS p, f.o AS o, f.q AS q FROM {ORDER_FACTS} WHERE f.o IS NOT NULL),
+ lost AS (SELECT 'P' || p_partkey AS id FROM part WHERE p_size = 7)
 SELECT * FROM (VALUES ('duplicate_node', 'error', 0::BIGINT), ('duplicate_fact', 'error', 0), ('duplicate_edge', 'error', 0), ('duplicate_evidence', 'error', 0), ('dangling_subject', 'error', 0), ('edge_without_fact', 'error', 0), ('missing_evidence', 'warning', 0), ('unprojected_fact', 'warning', 0)) AS v("check", level, n)
-UNION ALL SELECT 'dangling_object', 'error', count(*) FROM (SELECT DISTINCT o, p FROM f WHERE p % 97 = 0)
-UNION ALL SELECT 'dangling_source', 'error', 0 UNION ALL SELECT 'dangling_target', 'error', count(*) FROM (SELECT DISTINCT o, p FROM f WHERE p % 97 = 0)""")
+UNION ALL SELECT 'dangling_object', 'error', count(*) FROM f WHERE o IN (SELECT id FROM lost)
+UNION ALL SELECT 'dangling_source', 'error', 0 UNION ALL SELECT 'dangling_target', 'error', count(*) FROM (SELECT DISTINCT s, p, o FROM f WHERE o IN (SELECT id FROM lost))""")
 def graph_integrity(spark, sf_dir):
-    # a damaged graph: every 97th part's node is missing
-    f = facts_of(spark, sf_dir).filter("predicate = 'affects'").select("subject", "predicate", F.col("object").alias("object_key"), "qualifiers", F.lit("asserted").alias("origin"), F.lit(None).cast("string").alias("task_id"), F.col("source_row").alias("evidence_id"), F.col("object").alias("claim"))
-    facts = graph.dedup_facts(f).withColumn("object", F.col("object_key"))
-    p = table(spark, sf_dir, "part").filter("p_partkey % 97 <> 0").select(extract.entity("P", "p_partkey").alias("id"))
-    nodes = p.unionByName(table(spark, sf_dir, "orders").select(extract.entity("O", "o_orderkey").alias("id")))
+    # a damaged graph: the nodes of the parts of one size are missing; facts and edges are made once
+    facts = kept(deduped(spark, sf_dir).withColumn("object", F.col("object_key")), "facts")
+    edges = kept(graph.edges_of(facts), "edges")
+    node = lambda t, prefix, key, which="true": table(spark, sf_dir, t).filter(which).select(extract.entity(prefix, key).alias("id"))
+    nodes = node("part", "P", "p_partkey", "p_size <> 7").unionByName(node("orders", "O", "o_orderkey")).unionByName(node("customer", "C", "c_custkey"))
     evidence = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("evidence_id")).distinct()
-    return graph.integrity(nodes, facts, graph.edges_of(facts), evidence)
+    return graph.integrity(nodes, facts, edges, evidence)
 
 
 # ---------------------------------------------------------------- alignment
@@ -391,18 +389,13 @@ def alias_closure(spark, sf_dir):
     return align.guarded_merge(align.name_buckets(m), facts)
 
 
-@query("""WITH m AS (SELECT lpad(p_partkey::VARCHAR, 9, '0') AS id, regexp_replace(lower(p_name), '\\s+', '', 'g') AS k, list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]{2,}')) AS t FROM part WHERE p_partkey < 400),
+@query("""WITH m AS (SELECT lpad(p_partkey::VARCHAR, 9, '0') AS id, regexp_replace(lower(p_name), '\\s+', '', 'g') AS k, list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]{2,}')) AS t FROM part),
  e AS (SELECT id, k, unnest(t) AS tok FROM m),
  p AS (SELECT a.id AS a, b.id AS b, a.k AS ka, b.k AS kb, count(*) AS shared FROM e a JOIN e b USING (tok) WHERE a.id <> b.id GROUP BY ALL),
  f AS (SELECT * FROM p WHERE shared >= 2 OR (least(length(ka), length(kb)) >= 4 AND (contains(ka, kb) OR contains(kb, ka)))),
  r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY shared DESC, kb, b) AS rank, count(*) OVER (PARTITION BY a) AS candidates FROM f)
 SELECT a, b, shared, rank, candidates, candidates > 5 AS truncated FROM r WHERE rank <= 5""")
 def candidate_pairs(spark, sf_dir):
-    return align.candidate_pairs(part_mentions(spark, sf_dir).filter("mention_id < '000000400'")).withColumn("rank", F.col("rank").cast("long"))
-
-
-@query(whole("candidate_pairs", " WHERE p_partkey < 400"))
-def candidate_pairs_all(spark, sf_dir):
     return align.candidate_pairs(part_mentions(spark, sf_dir)).withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -438,50 +431,32 @@ def hop_sql(i: int) -> str:
 @query(f"""WITH {GEO}, adj AS (SELECT source AS src, target AS dst, edge_id, predicate FROM edges UNION ALL SELECT target, source, edge_id, predicate FROM edges),
  deg AS (SELECT src AS dst, count(*) AS degree FROM adj GROUP BY ALL),
  steps AS (SELECT src, dst, edge_id, round(1.25 * CASE predicate WHEN 'located_in' THEN 2.0 WHEN 'belongs_to' THEN 1.3 ELSE 0.4 END - 0.12 * ln(1 + degree), 6) AS step FROM adj JOIN deg USING (dst)),
- s1 AS (SELECT s_suppkey AS qid, ['S' || s_suppkey] AS nodes, []::VARCHAR[] AS es, round((10 + s_suppkey) * 0.15, 6) AS score FROM supplier WHERE s_suppkey < 6),
+ s1 AS (SELECT s_suppkey AS qid, ['S' || s_suppkey] AS nodes, []::VARCHAR[] AS es, round((10 + s_suppkey) * 0.15, 6) AS score FROM supplier),
  {hop_sql(1)}, {hop_sql(2)}, {hop_sql(3)},
  every AS (SELECT * FROM y1 UNION ALL SELECT * FROM y2 UNION ALL SELECT * FROM y3),
  f AS (SELECT *, row_number() OVER (PARTITION BY qid, es ORDER BY score DESC, nodes) AS r FROM every),
  g AS (SELECT qid, nodes, es, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, len(es), nodes, es) AS rank FROM f WHERE r = 1)
 SELECT qid, rank, array_to_string(nodes, '/') AS nodes, score FROM g WHERE rank <= 6""")
 def beam_paths(spark, sf_dir):
-    return supplier_paths(spark, sf_dir, "s_suppkey < 6")
-
-
-@query(whole("beam_paths", " WHERE s_suppkey < 6"))
-def beam_paths_all(spark, sf_dir):
-    return supplier_paths(spark, sf_dir)
-
-
-def supplier_paths(spark, sf_dir, suppliers: str = "true"):
     weight = F.when(F.col("predicate") == "located_in", 2.0).when(F.col("predicate") == "belongs_to", 1.3).otherwise(0.4)
-    seeds = table(spark, sf_dir, "supplier").filter(suppliers).select(F.col("s_suppkey").alias("qid"), extract.entity("S", "s_suppkey").alias("node"), (10.0 + F.col("s_suppkey")).alias("score"))
+    seeds = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("qid"), extract.entity("S", "s_suppkey").alias("node"), (10.0 + F.col("s_suppkey")).alias("score"))
     out = graph.beam_paths(graph.adjacency(geo_edges(spark, sf_dir)), seeds, 1.25 * weight - 0.12 * F.log1p(F.col("degree").cast("double")))
     return out.select("qid", F.col("rank").cast("long").alias("rank"), F.array_join("nodes", "/").alias("nodes"), "score")
 
 
-@query("""WITH t AS (SELECT p_partkey AS qid FROM part WHERE p_partkey < 5), e0 AS (SELECT DISTINCT qid, l_orderkey AS event FROM t JOIN lineitem ON l_partkey = qid),
+@query("""WITH t AS (SELECT p_partkey AS qid FROM part), e0 AS (SELECT DISTINCT qid, l_orderkey AS event FROM t JOIN lineitem ON l_partkey = qid),
  led AS (SELECT o_orderkey AS src, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS dst FROM orders),
  links AS (SELECT src, dst FROM led WHERE dst IS NOT NULL UNION ALL SELECT dst, src FROM led WHERE dst IS NOT NULL),
  e1 AS (SELECT DISTINCT qid, dst AS event FROM e0 JOIN links ON src = event EXCEPT SELECT qid, event FROM e0),
  e2 AS ((SELECT DISTINCT qid, dst AS event FROM e1 JOIN links ON src = event) EXCEPT (SELECT qid, event FROM e0 UNION SELECT qid, event FROM e1))
 SELECT 'P' || qid AS qid, 'O' || event AS event, d AS depth FROM (SELECT *, 0 AS d FROM e0 UNION ALL SELECT *, 1 FROM e1 UNION ALL SELECT *, 2 FROM e2)""")
 def event_components(spark, sf_dir):
-    return part_events(spark, sf_dir, "p_partkey < 5", "l_partkey < 5")
-
-
-@query(whole("event_components", " WHERE p_partkey < 5"))
-def event_components_all(spark, sf_dir):
-    return part_events(spark, sf_dir)
-
-
-def part_events(spark, sf_dir, parts: str = "true", lines: str = "true"):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    affects = li.filter(lines).select(extract.entity("O", "l_orderkey").alias("source"), extract.entity("P", "l_partkey").alias("target"), F.lit("affects").alias("predicate")).distinct()
+    affects = li.select(extract.entity("O", "l_orderkey").alias("source"), extract.entity("P", "l_partkey").alias("target"), F.lit("affects").alias("predicate")).distinct()
     follows = o.select(extract.entity("O", "o_orderkey").alias("source"), F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("n"), F.lit("reported_cause").alias("predicate")).filter("n is not null")
     edges = affects.unionByName(follows.select("source", extract.entity("O", "n").alias("target"), "predicate")).withColumn("edge_id", F.concat("source", F.lit(">"), "target"))
     nodes = o.select(extract.entity("O", "o_orderkey").alias("id"), F.lit("Event").alias("type"))
-    targets = table(spark, sf_dir, "part").filter(parts).select(extract.entity("P", "p_partkey").alias("qid"), extract.entity("P", "p_partkey").alias("node"))
+    targets = table(spark, sf_dir, "part").select(extract.entity("P", "p_partkey").alias("qid"), extract.entity("P", "p_partkey").alias("node"))
     return graph.event_neighbourhood(graph.adjacency(edges), nodes, targets)
 
 
@@ -663,7 +638,7 @@ def owned_codes(spark, sf_dir):
 PDF_WORDS = [(1, 10.0, 30.0, "Name"), (1, 34.0, 50.0, "long"), (1, 80.0, 100.0, "Price"), (1, 140.0, 160.0, "Note"), (2, 5.0, 20.0, "One")]
 
 
-@query("SELECT * FROM (VALUES (1, 0, 'Name long'), (1, 1, 'Price'), (1, 2, 'Note'), (2, 0, 'One')) AS v(page, col, header)")
+@query("SELECT * FROM (VALUES (1, 0, 'Name long'), (1, 1, 'Price'), (1, 2, 'Note')) AS v(page, col, header)")
 def pdf_header_columns(spark, sf_dir):
     return units.header_columns(spark.sql(f"SELECT * FROM {values(PDF_WORDS, 'page, x0, x1, text')}")).select("page", "col", "header")
 
@@ -765,22 +740,13 @@ def entity_profiles(spark, sf_dir):
     return out.join(n, "entity_id").select("entity_id", "n_names", F.size("names").cast("long").alias("n_kept"), F.size(F.col("attributes")["category"]).cast("long").alias("n_categories"))
 
 
-@query("""WITH r AS (SELECT DISTINCT 'C' || o_custkey AS s, 'P' || l_partkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey < 200)
-SELECT 'nodes' AS part, (SELECT count(*) FROM customer WHERE c_custkey < 200) + (SELECT count(DISTINCT p_brand) FROM part) AS n
+@query("""WITH r AS (SELECT DISTINCT 'C' || o_custkey AS s, 'P' || l_partkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT 'nodes' AS part, (SELECT count(*) FROM customer) + (SELECT count(DISTINCT p_brand) FROM part) AS n
 UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)
 UNION ALL SELECT 'facts', (SELECT count(*) FROM (SELECT DISTINCT s, p_brand FROM r JOIN part ON o = 'P' || p_partkey)) + (SELECT count(*) FROM (SELECT DISTINCT p_brand, p_type FROM part))""")
 def graph_build(spark, sf_dir):
-    return graph_sizes(spark, sf_dir, "c_custkey < 200")
-
-
-@query(whole("graph_build", " WHERE o_custkey < 200").replace(" WHERE c_custkey < 200", ""))
-def graph_build_all(spark, sf_dir):
-    return graph_sizes(spark, sf_dir)
-
-
-def graph_sizes(spark, sf_dir, customers: str = "true"):
     # parts of one brand are one entity
-    c = table(spark, sf_dir, "customer").filter(customers).select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.col("c_name").alias("name"))
+    c = table(spark, sf_dir, "customer").select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.col("c_name").alias("name"))
     p = table(spark, sf_dir, "part")
     m = c.unionByName(p.select(extract.entity("P", "p_partkey").alias("mention_id"), F.lit("Product").alias("type"), F.col("p_name").alias("name")))
     m = m.select("*", F.array().cast("array<string>").alias("aliases"), F.lit(False).alias("has_identifier"), F.lit(False).alias("alias_declared"))
@@ -848,7 +814,7 @@ def file_scalars(spark, sf_dir):
     return df.select("id", T.format_name(F.col("path")).alias("format"), letters.alias("letters"), T.short_quote(F.col("quote")).alias("quote"), T.render_row(F.array("raw", letters)).alias("rendered"))
 
 
-@query("SELECT * FROM (VALUES (1, 'page=3; row=7'), (2, 'sheet=S; cell=B2'), (3, '')) AS v(id, locator)")
+@query('''SELECT * FROM (VALUES (1, 'page=3; row=7'), (2, 'sheet=S; cell=B2'), (3, '{"page":""}')) AS v(id, locator)''')
 def locator_texts(spark, sf_dir):
     df = spark.sql("SELECT 1 AS id, map('row', '7', 'page', '3') AS l UNION ALL SELECT 2, map('cell', 'B2', 'sheet', 'S', 'other', 'x') UNION ALL SELECT 3, map('page', '')")
     return df.select("id", T.locator_text(F.col("l")).alias("locator"))
@@ -878,21 +844,251 @@ def run_selection(spark, sf_dir):
     return sinks.latest_run(runs, "second").select("work_dir")
 
 
-@query("""WITH e AS (SELECT event_type AS qid, event_id, value FROM events WHERE event_id < 400)
+@query("""WITH e AS (SELECT event_type AS qid, event_id, value FROM events)
 SELECT a.event_id AS id, CASE WHEN a.qid = 'error' AND b.qid = 'purchase' THEN true WHEN a.qid = 'click' THEN NULL ELSE false END AS fits FROM e a JOIN e b ON b.event_id = a.event_id + 1""")
 def relation_types(spark, sf_dir):
-    return typed_relations(table(spark, sf_dir, "events").filter("event_id < 400"))
-
-
-@query(whole("relation_types", " WHERE event_id < 400"))
-def relation_types_all(spark, sf_dir):
-    return typed_relations(table(spark, sf_dir, "events"))
-
-
-def typed_relations(events):
-    e = events.select("event_id", "event_type")
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
     pairs = e.join(e.select((F.col("event_id") - 1).alias("event_id"), F.col("event_type").alias("next")), "event_id")
     p = F.when(F.col("event_type") == "click", "custom").otherwise("uses")
     s = F.when(F.col("event_type") == "error", "Actor").otherwise("Event")
     o = F.when(F.col("next") == "purchase", "AITool").otherwise("Event")
     return pairs.select(F.col("event_id").alias("id"), graph.relation_fits(p, s, o).alias("fits"))
+
+
+# ---------------------------------------------------------------- a run's state
+
+
+@query("""SELECT (SELECT count(*) FROM pages WHERE length(html) < 200) AS parse_failures, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS pending_units,
+ (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS open_clusters, false AS complete""")
+def run_gate(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.when(F.length("html") < 200, "failed").otherwise("parsed").alias("parse_status"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_id"))
+    clusters = table(spark, sf_dir, "customer").select(F.when(F.col("c_acctbal") < 0, "uncertain").otherwise("resolved").alias("status"))
+    return protocol.completeness(pages, docs, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("unit_id")), clusters)
+
+
+@query("""SELECT 'stale_fingerprint' AS "check", 'error' AS level, 1::BIGINT AS n UNION ALL SELECT 'not_built', 'warning', 0 UNION ALL SELECT 'incomplete', 'error', 1
+UNION ALL SELECT 'duplicate_part', 'error', (SELECT count(*) FROM (SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 1))""")
+def run_validation(spark, sf_dir):
+    names = table(spark, sf_dir, "part").groupBy("p_name").count().filter("count > 1").agg(F.count("*").alias("n"))
+    return protocol.validated(run_gate(spark, sf_dir), names.select(F.lit("duplicate_part").alias("check"), F.lit("error").alias("level"), "n"), "a", "b", True)
+
+
+@query("""SELECT doc_id AS unit_id, CASE WHEN l.doc_id IS NOT NULL AND toxic > 0 THEN 'deterministic_alias_table' WHEN lang = 'de' AND n_chars > 2000 THEN 'xlsx_semantic_overlay' WHEN lang = 'de' THEN 'deterministic_xlsx' WHEN lang = 'fr' THEN 'auto_no_facts' ELSE 'llm_batch' END AS mode,
+ CASE WHEN toxic > 0 OR lang = 'fr' OR (lang = 'de' AND n_chars <= 2000) THEN 'auto' WHEN lang = 'de' THEN 'model_with_prefill' ELSE 'model' END AS action
+FROM documents d LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY ALL) l USING (doc_id)""")
+def prepare_router(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    mode = F.when(F.col("lang") == "de", "xlsx_rule_or_fallback").when(F.col("lang") == "fr", "auto_no_facts").otherwise("llm_batch")
+    u = d.select(F.col("doc_id").alias("unit_id"), mode.alias("mode"), F.lit(False).alias("done"))
+    cells_ = d.filter("lang = 'de'").select(F.col("doc_id").alias("unit_id"), F.lit(3).alias("n_facts"), F.when(F.col("n_chars") > 2000, 1).otherwise(0).alias("n_overlay"))
+    return protocol.prepared(u, table(spark, sf_dir, "labels").filter("toxic > 0").select(F.col("doc_id").alias("unit_id")).distinct(), cells_)
+
+
+@query("""WITH r AS (SELECT conv_id AS task_id, turn AS pos, CASE role WHEN 'user' THEN 'Actor' WHEN 'assistant' THEN 'AITool' ELSE role END AS type, role AS lid, trim(substr(text, 1, 12), ' ') AS name FROM conversations),
+ k AS (SELECT *, type IN ('Product', 'AITool', 'Actor', 'DataAsset', 'Version', 'Event', 'Observation') AND name <> '' AS ok FROM r),
+ n AS (SELECT *, CASE WHEN ok THEN row_number() OVER (PARTITION BY task_id, CASE WHEN ok THEN lid END ORDER BY pos) END AS i FROM k)
+SELECT task_id, pos, type, name, CASE WHEN i > 1 THEN lid || '_' || (pos + 1) WHEN ok THEN lid END AS local_id, CASE WHEN NOT ok THEN 'skipped_invalid_mention' END AS warning FROM n""")
+def response_mentions(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    kind = F.when(F.col("role") == "user", "Actor").when(F.col("role") == "assistant", "AITool").otherwise(F.col("role"))
+    none = F.lit(None).cast("array<string>").alias("aliases")
+    raw = c.select(F.col("conv_id").alias("task_id"), F.col("turn").alias("pos"), F.col("role").alias("local_id"), kind.alias("type"), F.substr("text", F.lit(1), F.lit(12)).alias("name"), none, F.lit(None).cast("boolean").alias("alias_declared"))
+    raw = raw.withColumn("task_id", F.col("task_id").cast("string"))
+    out = protocol.checked_mentions(raw).select(F.col("task_id").cast("long").alias("task_id"), "pos", "type", "name", "local_id", "warning")
+    return out
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'view' THEN 'observed_value' ELSE 'attribute' END AS predicate, CASE WHEN event_type <> 'view' THEN event_type END AS attribute, CASE WHEN value < 1 THEN 'skipped_unresolved_assertion' END AS warning FROM events""")
+def response_assertions(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    said = F.when(F.col("event_type") == "view", "observed_value").otherwise(F.col("event_type"))
+    raw = e.select("event_id", F.col("user_id").cast("string").alias("subject_id"), said.alias("predicate"), F.lit(None).cast("string").alias("attribute"), F.when(F.col("value") >= 1, F.col("value").cast("string")).alias("value"), F.lit(None).cast("map<string,string>").alias("qualifiers"))
+    return protocol.checked_assertions(raw).select("event_id", "predicate", F.try_element_at("qualifiers", F.lit("attribute")).alias("attribute"), "warning")
+
+
+@query("""WITH p AS (SELECT o_custkey AS unit_id, 'mention' AS kind, o_orderstatus AS local_id, 'host' AS origin FROM orders WHERE o_orderpriority = '1-URGENT'),
+ s AS (SELECT o_custkey AS unit_id, CASE WHEN o_totalprice > 100000 THEN 'mention' ELSE 'relation' END AS kind, o_orderstatus AS local_id, 'model' AS origin FROM orders WHERE o_orderpriority = '2-HIGH')
+SELECT unit_id, kind, local_id, origin, count(*) AS n FROM (SELECT * FROM p WHERE unit_id IN (SELECT unit_id FROM s) UNION ALL SELECT * FROM s WHERE kind <> 'mention' OR (unit_id, local_id) NOT IN (SELECT unit_id, local_id FROM p)) GROUP BY ALL""")
+def prefill_merge(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("unit_id"), F.when((F.col("o_orderpriority") == "1-URGENT") | (F.col("o_totalprice") > 100000), "mention").otherwise("relation").alias("kind"), F.col("o_orderstatus").alias("local_id"), "o_orderpriority")
+    side = lambda p, name: o.filter(F.col("o_orderpriority") == p).select("unit_id", "kind", "local_id", F.lit(name).alias("origin"))
+    return protocol.merged_prefill(side("1-URGENT", "host"), side("2-HIGH", "model")).groupBy("unit_id", "kind", "local_id", "origin").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'U' || n_nationkey AS unit_id, '# Sheet: ' || n_name || chr(10) || chr(10) || 'Only interpret the free-text cells below; structured fields are already handled deterministically.' || chr(10) ||
+ string_agg(chr(10) || '## Row ' || c_custkey || chr(10) || 'Context: A' || c_custkey || ' name=' || c_name || chr(10) || 'B' || c_custkey || ' note: ' || c_mktsegment, chr(10) ORDER BY c_custkey) AS content
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name""")
+def overlay_rendering(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    cell = lambda letter, header, raw: F.array(F.struct(F.concat(F.lit(letter), F.col("c_custkey").cast("string")).alias("coordinate"), F.lit(header).alias("header"), F.col(raw).alias("raw")))
+    rows = c.select(extract.entity("U", "n_nationkey").alias("unit_id"), F.col("n_name").alias("sheet"), F.col("c_custkey").alias("row"), cell("A", "name", "c_name").alias("context"), cell("B", "note", "c_mktsegment").alias("semantic"))
+    return protocol.overlay_text(rows)
+
+
+@query("""SELECT p_partkey AS mention_id, p_size > 25 AS alias_declared, CASE WHEN p_size > 25 THEN 'AC-' || p_partkey END AS code, 1 + (p_size > 25)::INT AS n_identifiers FROM part""")
+def identity_repair(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    code = F.concat(F.lit("AC-"), F.col("p_partkey").cast("string"))
+    name = F.concat("p_name", F.lit("("), code, F.lit(")"))
+    told = F.when(F.col("p_size") > 25, F.concat(name, F.lit(" / "), "p_brand")).otherwise("p_brand")
+    have = F.array(F.struct(F.lit("erp").alias("scope"), F.col("p_brand").alias("value")), F.struct(F.lit("inline_product_code").alias("scope"), F.lit("ZZ-1").alias("value")))
+    m = p.select(F.col("p_partkey").alias("mention_id"), F.lit("Product").alias("type"), name.alias("name"), F.array("p_brand").alias("aliases"), F.lit(False).alias("alias_declared"), told.alias("evidence"), have.alias("identifiers"))
+    inline = F.filter("identifiers", lambda i: i["scope"] == "inline_product_code")
+    return protocol.repaired_identity(m).select("mention_id", "alias_declared", F.get(inline, F.lit(0))["value"].alias("code"), F.size("identifiers").alias("n_identifiers"))
+
+
+@query("""SELECT a.c_mktsegment AS source, b.c_mktsegment AS target, count(*) AS n, min(CASE WHEN a.s = 'record' OR b.s = 'record' THEN CASE WHEN b.s = 'record' THEN 'record' WHEN a.s = 'uncertain' OR b.s = 'uncertain' THEN 'uncertain' ELSE b.s END ELSE 'active' END) AS status
+FROM (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'record' WHEN 'AUTOMOBILE' THEN 'uncertain' WHEN 'MACHINERY' THEN 'resolved' ELSE 'active' END AS s FROM customer) a
+JOIN (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'record' WHEN 'AUTOMOBILE' THEN 'uncertain' WHEN 'MACHINERY' THEN 'resolved' ELSE 'active' END AS s FROM customer) b ON b.c_custkey = a.c_custkey + 1 GROUP BY ALL""")
+def cluster_statuses(spark, sf_dir):
+    s = F.when(F.col("c_mktsegment") == "BUILDING", "record").when(F.col("c_mktsegment") == "AUTOMOBILE", "uncertain").when(F.col("c_mktsegment") == "MACHINERY", "resolved").otherwise("active")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", s.alias("s"))
+    pairs = c.select("c_custkey", F.col("c_mktsegment").alias("source"), F.col("s").alias("a")).join(c.select((F.col("c_custkey") - 1).alias("c_custkey"), F.col("c_mktsegment").alias("target"), F.col("s").alias("b")), "c_custkey")
+    return pairs.groupBy("source", "target").agg(F.count("*").alias("n"), F.min(protocol.joined_status(F.col("a"), F.col("b"))).alias("status"))
+
+
+@query("""WITH c AS (SELECT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')),
+ r AS (SELECT DISTINCT o_custkey, l_partkey FROM c), g AS (SELECT o_custkey, list_transform(list_sort(list(l_partkey)), lambda x: 'P' || x) AS cand FROM r GROUP BY ALL)
+SELECT 'align_' || substr(sha256('["run","1","C' || o_custkey || '","' || array_to_string(cand, '","') || '"]'), 1, 20) AS task_id, 'C' || o_custkey AS cluster_id, len(cand) AS n FROM g""")
+def alignment_round(spark, sf_dir):
+    status = F.when(F.col("c_mktsegment") == "BUILDING", "active").when(F.col("c_mktsegment") == "AUTOMOBILE", "uncertain").otherwise("resolved")
+    clusters = table(spark, sf_dir, "customer").select(extract.entity("C", "c_custkey").alias("cluster_id"), status.alias("status"))
+    li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    cand = li.select(extract.entity("C", "o_custkey").alias("cluster_id"), extract.entity("P", "l_partkey").alias("candidate"), F.col("l_partkey").alias("rank")).distinct()
+    return protocol.round_tasks(clusters, cand, "run", 1)["tasks"].select("task_id", "cluster_id", F.size("candidates").cast("long").alias("n"))
+
+
+@query("""WITH u AS (SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)), lead_ AS (SELECT source AS s FROM u ORDER BY n_chars DESC, source, doc_id LIMIT 1)
+SELECT doc_id AS unit_id, (source <> s)::INT AS later, row_number() OVER (ORDER BY (source <> s)::INT, n_chars DESC, source, doc_id) AS turn FROM u, lead_""")
+def pending_turns(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_id"), F.col("source").alias("document_id"), F.lit("").alias("place"), F.col("n_chars").alias("priority"))
+    out = protocol.pending_order(d, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("unit_id")))
+    w = Window.orderBy("later", F.desc("priority"), "document_id", "place", "unit_id")
+    return out.withColumn("turn", F.row_number().over(w).cast("long")).select("unit_id", "later", "turn")
+
+
+@query("""SELECT l_orderkey, l_linenumber, 'C' || o_custkey AS source, o_orderstatus AS file_sha256 FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""")
+def evidence_sources(spark, sf_dir):
+    docs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("document_id"), extract.entity("C", "o_custkey").alias("path"), F.col("o_orderstatus").alias("sha256"))
+    ev = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("document_id"), "l_linenumber")
+    return protocol.with_sources(ev, docs).select(F.col("document_id").alias("l_orderkey"), "l_linenumber", "source", "file_sha256")
+
+
+@query("""SELECT p_partkey AS unit_id, CASE WHEN p_size > 10 THEN 'visual' ELSE 'text' END AS kind, (p_size > 10)::INT AS n_assets, 1 AS n_cells FROM part""")
+def evidence_references(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    none = F.array().cast("array<string>")
+    ev = p.select(F.col("p_partkey").alias("unit_id"), F.lit("visual").alias("kind"), F.array("p_brand").alias("assets"), F.array("p_name", F.lit("A1")).alias("cells"), none.alias("shapes"))
+    have = p.select(F.col("p_partkey").alias("unit_id"), F.when(F.col("p_size") > 10, F.array("p_brand")).otherwise(none).alias("assets"), F.array(F.lit("A1")).alias("cells"), F.array(F.lit("s")).alias("shapes"))
+    return protocol.valid_references(ev, have).select("unit_id", "kind", F.size("assets").alias("n_assets"), F.size("cells").alias("n_cells"))
+
+
+@query("SELECT doc_id FROM documents WHERE lang <> 'de' AND trim(text, ' ') <> ''")
+def readable_units(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    docs = d.select(F.col("doc_id").alias("document_id"), F.when(F.col("lang") == "de", "questions").otherwise("corpus").alias("role"))
+    return protocol.readable_units(d.select("doc_id", F.col("doc_id").alias("document_id"), F.col("text").alias("content")), docs).select("doc_id")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_size > 40 THEN p_type ELSE '{"number":"' || CASE WHEN p_size > 20 THEN p_size * 10000 ELSE p_size END || '","unit":"' || CASE WHEN p_size > 20 THEN '元' ELSE '个' END || '","currency":null}' END AS key FROM part""")
+def value_keys(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    number = F.when(F.col("p_size") <= 40, F.concat(F.col("p_size").cast("string"), F.lit(".0")))
+    unit = F.when(F.col("p_size") > 20, "万元").otherwise("个")
+    return p.select(F.col("p_partkey").alias("id"), T.value_key(number, unit, F.lit(None).cast("string"), F.col("p_type")).alias("key"))
+
+
+@query("""SELECT a.p_partkey AS a, b.p_partkey AS b, CASE WHEN lower(a.p_type) <> lower(b.p_type) THEN 'different_variant' WHEN a.p_brand <> b.p_brand THEN 'different_scoped_id' END AS reason
+FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey""")
+def hard_conflicts(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    own = F.struct(F.lit("Product").alias("type"), F.create_map(F.lit("variant"), "p_type").alias("attributes"), F.create_map(F.lit("brand"), F.array("p_brand")).alias("identifiers"))
+    side = lambda x: p.select("p_name", "p_size", F.col("p_partkey").alias(f"k{x}"), own.alias(x))
+    pairs = side("x").join(side("y"), ["p_name", "p_size"]).filter("kx < ky")
+    return pairs.select(F.col("kx").alias("a"), F.col("ky").alias("b"), align.hard_conflict("x", "y").alias("reason"))
+
+
+@query("""WITH m AS (SELECT 'C' || c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 'AUTOMOBILE' ELSE c_name END AS name, c_mktsegment AS alias, c_acctbal > 9000 AS told FROM customer),
+ t AS (SELECT id, lower(unnest([name, alias])) AS k FROM m WHERE told), n AS (SELECT id, regexp_replace(lower(name), '\\s+', '', 'g') AS k FROM m)
+SELECT 'alias:Actor:' || k AS bucket, count(DISTINCT id) AS n FROM (SELECT id, regexp_replace(k, '\\s+', '', 'g') AS k FROM t UNION ALL SELECT id, k FROM n WHERE k IN (SELECT regexp_replace(k, '\\s+', '', 'g') FROM t)) GROUP BY ALL HAVING count(DISTINCT id) > 1""")
+def declared_aliases(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    m = c.select(extract.entity("C", "c_custkey").alias("mention_id"), F.lit("Actor").alias("type"), F.when(F.col("c_acctbal") < 0, "AUTOMOBILE").otherwise(F.col("c_name")).alias("name"), F.array("c_mktsegment").alias("aliases"), (F.col("c_acctbal") > 9000).alias("alias_declared"))
+    return align.declared_alias_buckets(m).select("bucket", F.size("mentions").cast("long").alias("n"))
+
+
+@query("""SELECT 'record_key:Event:' || o_orderpriority || ':' || regexp_replace(lower(o_orderstatus), '\\s+', '', 'g') AS bucket, count(*) AS n FROM orders WHERE o_totalprice > 50000 GROUP BY o_orderpriority, o_orderstatus HAVING count(*) > 1""")
+def record_keys(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    m = o.select(extract.entity("O", "o_orderkey").alias("mention_id"), F.lit("Event").alias("type"), F.col("o_orderstatus").alias("name"), F.when(F.col("o_totalprice") > 50000, F.col("o_orderpriority")).alias("record_scope"))
+    return align.record_key_buckets(m).select("bucket", F.size("mentions").cast("long").alias("n"))
+
+
+# ---------------------------------------------------------------- retrieval for a batch of questions
+
+FORMATS = ("pdf", "word", "excel", "ppt", "image")
+
+
+def evidence_store(spark, sf_dir) -> retrieve.Store:
+    """Documents as units, regions, nations, suppliers and parts as a graph, customers as a sheet."""
+    t = lambda name: table(spark, sf_dir, name)
+    none = F.array().cast("array<string>")
+    node = lambda df, prefix, key, kind, name, alias=none: df.select(extract.entity(prefix, key).alias("id"), F.lit(kind).alias("type"), F.col(name).alias("name"), alias.alias("aliases"), none.alias("identifiers"))
+    nodes = reduce(
+        DataFrame.unionByName,
+        (
+            node(t("region"), "R", "r_regionkey", "DataAsset", "r_name"),
+            node(t("nation"), "N", "n_nationkey", "Product", "n_name"),
+            node(t("supplier"), "S", "s_suppkey", "Actor", "s_name"),
+            node(t("part"), "P", "p_partkey", "AITool", "p_name", F.array("p_brand")),
+        ),
+    )
+    link = lambda df, a, k, p, b, j, unit: df.select(extract.entity(a, k).alias("subject"), F.lit(p).alias("predicate"), extract.entity(b, j).alias("object"), F.lit(None).cast("string").alias("value"), F.create_map().cast("map<string,string>").alias("qualifiers"), F.concat(F.lit("U"), F.col(unit).cast("string")).alias("unit_id"))
+    relations = link(t("nation"), "N", "n_nationkey", "depends_on", "R", "n_regionkey", "n_nationkey").unionByName(link(t("supplier"), "S", "s_suppkey", "uses", "N", "s_nationkey", "s_suppkey"))
+    p = t("part")
+    said = p.select(extract.entity("P", "p_partkey").alias("subject"), F.lit("attribute").alias("predicate"), F.lit(None).cast("string").alias("object"), F.col("p_type").alias("value"), F.create_map(F.lit("attribute"), F.lit("type")).alias("qualifiers"), extract.entity("U", "p_partkey").alias("unit_id"))
+    facts = relations.unionByName(said).withColumn("fact_id", ident("fact", F.col("subject"), F.col("predicate"), F.coalesce("object", "value")))
+    facts = facts.withColumn("evidence_ids", F.array(F.concat(F.lit("ev_"), "fact_id")))
+    evidence = facts.select(F.col("evidence_ids")[0].alias("evidence_id"), "unit_id", F.col("unit_id").alias("source"), F.lit("").alias("locator"))
+    edges = facts.filter("object is not null").select(ident("edge", F.col("subject"), F.col("predicate"), F.col("object")).alias("edge_id"), F.col("subject").alias("source"), F.col("object").alias("target"), "predicate", F.array("fact_id").alias("fact_ids"))
+    d = t("documents")
+    kind = F.element_at(F.array(*map(F.lit, FORMATS)), (F.pmod(F.xxhash64("source"), F.lit(len(FORMATS))) + 1).cast("int"))
+    units_ = d.select(extract.entity("U", "doc_id").alias("unit_id"), F.col("text").alias("content"), "source", kind.alias("format"), F.col("lang").alias("place"))
+    sheet = entries.unpivot(t("customer"), "customer", "c_custkey", ["c_name", "c_mktsegment"])
+    sheet = sheet.withColumns({"unit_id": F.lit("U0"), "source": F.lit("customer")})
+    return retrieve.Store(nodes, facts.drop("unit_id"), edges, evidence, units_, sheet)
+
+
+def asked(spark, sf_dir) -> DataFrame:
+    """The benchmark's passages as questions, and questions about the graph and the sheet."""
+    more = [(-1, "“customer”工作表的c_mktsegment列，列出5条"), (-2, "PDF 和 Word 中 FRANCE 的名称分别叫什么"), (-3, "为什么 GERMANY, EUROPE, 的时间线变化"), (-4, "Supplier#000000003, GERMANY")]
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("qid"), F.col("text").alias("question")).unionByName(spark.createDataFrame(more, "qid long, question string"))
+
+
+@query()
+def retrieve_batch(spark, sf_dir):
+    out = retrieve.retrieve(asked(spark, sf_dir), evidence_store(spark, sf_dir))
+    count = lambda k: out[k].groupBy("qid").agg(F.count("*").alias(f"n_{k}"))
+    df = out["plans"].select("qid", "intent", "retrieval_mode")
+    for k in ("structured", "facts", "candidates", "timeline", "paths", "units"):
+        df = df.join(count(k), "qid", "left")
+    return df.join(out["context"].select("qid", "context", "blocks", "omitted"), "qid").fillna(0)
+
+
+@query(f"""WITH facts AS (SELECT 'S' || s_suppkey AS s, 'uses' AS p, 'N' || n_nationkey AS o, s_name || ' uses ' || n_name AS text FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+ docs AS (SELECT {ident_sql('fact', 's', 'p', 'o')} AS doc_id, text, o FROM facts),
+ qs AS (SELECT n_nationkey AS qid, n_name || ' 2024' AS text FROM nation), {BM25_SQL},
+ pool AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS r FROM scored),
+ hit AS (SELECT p.qid, p.doc_id, p.score AS base, round(p.score + 0.4, 6) AS score
+  FROM pool p WHERE r <= 56),
+ cut AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY base DESC, doc_id) AS n FROM hit)
+SELECT qid, doc_id AS fact_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM cut WHERE n <= 14""")
+def fact_retrieval(spark, sf_dir):
+    store = evidence_store(spark, sf_dir)
+    facts = store.facts.filter("predicate = 'uses'")
+    store = replace(store, facts=facts).indexed()
+    q = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("qid"), F.concat("n_name", F.lit(" 2024")).alias("text"))
+    none = F.array().cast("array<int>")
+    plans = q.select("qid", F.array(F.lower("text")).alias("keywords"), F.create_map(F.lit("uses"), F.lit(0.4)).alias("weights"), none.alias("years"), none.alias("months"), none.alias("quarters"), F.lit(False).alias("timeline"))
+    return retrieve.fact_hits(store, q, plans).select("qid", "fact_id", "score", F.col("rank").cast("long").alias("rank"))

@@ -1,7 +1,7 @@
 """Scalar text functions as column expressions.
 
-Case folding is lower() with the one letter that folds to two; compatibility forms are folded only by
-``nfkc`` (an Arrow function), which callers apply to sources that hold full-width text.
+Case folding is lower() with the one letter that folds to two. Of the compatibility forms the full-width
+ones of ASCII and the wide blank are folded everywhere; ``nfkc`` (an Arrow function) folds all.
 """
 
 from __future__ import annotations
@@ -65,13 +65,21 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
+WIDE, NARROW = "".join(chr(0xFEE0 + i) for i in range(33, 127)) + "\u3000", "".join(map(chr, range(33, 127))) + " "
+
+
+def narrow(c: Column) -> Column:
+    """Full-width forms as ASCII; texts of ASCII alone, which are told by their size, pass as they are."""
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, WIDE, NARROW))
+
+
 def fold(c: Column) -> Column:
-    return F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("ß"), F.lit("ss"))
+    return F.replace(F.lower(narrow(F.coalesce(c, F.lit("")))), F.lit("ß"), F.lit("ss"))
 
 
 def norm(c: Column) -> Column:
     """Without white space, case folded; null is empty."""
-    return fold(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", ""))
+    return fold(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)[\s\u3000]+", ""))
 
 
 def clean(c: Column) -> Column:
@@ -167,6 +175,13 @@ def scaled(number: Column, unit: Column) -> Column:
     return out
 
 
+def value_key(number: Column, unit: Column, currency: Column, raw: Column) -> Column:
+    """What makes two values equal: the scaled number with its unit and currency as JSON, else the text."""
+    value = scaled(number, unit)
+    keyed = F.to_json(F.struct(value["number"].alias("number"), value["unit"].alias("unit"), currency.alias("currency")), {"ignoreNullFields": "false"})
+    return F.when(value["number"].isNotNull(), keyed).otherwise(raw)
+
+
 def literal_kind(raw: Column) -> Column:
     t = F.trim(F.coalesce(raw, F.lit("")))
     dated = t.rlike(r"^20[0-9]{2}(?:[-/.年][0-9]{1,2})?(?:[-/.月][0-9]{1,2})?日?$")
@@ -249,10 +264,10 @@ def iso_dates(c: Column) -> Column:
 
 
 def markdown_rows(c: Column) -> Column:
-    """The cells of every table row of a Markdown text, without separator rows."""
+    """The cells of every table row of a Markdown text, without rows of dashes, colons and blanks."""
     lines = F.filter(F.transform(F.split(c, "\n"), F.trim), lambda s: s.rlike(r"^\|.*\|$"))
-    cells = F.transform(lines, lambda s: F.transform(F.split(F.substr(s, F.lit(2), F.length(s) - 2), r"\|"), lambda x: F.trim(F.regexp_replace(x, r"(?i)<br\s*/?>", " "))))
-    return F.filter(cells, lambda row: ~F.forall(row, lambda x: x.rlike(r"^:?-{3,}:?$")))
+    cells = F.transform(lines, lambda s: F.transform(F.split(F.regexp_replace(s, r"^\|+|\|+$", ""), r"\|"), lambda x: F.trim(F.regexp_replace(x, r"(?i)<br\s*/?>", " "))))
+    return F.filter(cells, lambda row: ~F.forall(row, lambda x: x.rlike(r"^[:\-\s]*$")))
 
 
 def render_row(cells: Column) -> Column:
@@ -261,8 +276,9 @@ def render_row(cells: Column) -> Column:
 
 
 def locator_text(locator: Column, keys: tuple[str, ...] = ("page", "section", "sheet", "row", "row_start", "row_end", "cell", "cells", "cell_range", "slide", "table", "shape_ids", "image")) -> Column:
-    """``k=v; `` of the map's known keys that aren't empty, in order."""
-    return F.concat_ws("; ", *[F.when(F.coalesce(locator[k], F.lit("")) != "", F.concat(F.lit(k + "="), locator[k])) for k in keys])
+    """``k=v; `` of the map's known keys that aren't empty, in order; without any the map as JSON."""
+    known = F.concat_ws("; ", *[F.when(F.coalesce(locator[k], F.lit("")) != "", F.concat(F.lit(k + "="), locator[k])) for k in keys])
+    return F.when(known != "", known).otherwise(F.to_json(locator))
 
 
 def salience(value: Column, repeats: Column, exhaustive: bool) -> Column:

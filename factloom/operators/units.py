@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -49,34 +49,33 @@ def route(units: DataFrame, vocabulary: dict[str, tuple[str, ...]] | None = None
     return df.withColumn("score", score).withColumn("mode", mode).withColumn("priority", priority.cast("int"))
 
 
+#: What a text is cut at, from coarse to fine; the first keeps its blank lines as pieces of their own.
+CUTS = (r"(\n\s*\n)", r"(?<=\n)", r"(?<=[。！？.!?])")
+CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+
+
 def split_text(text: str, budget: int) -> list[str]:
-    """Chunks of at most ``budget`` characters: paragraphs are packed, longer ones by lines, those by
-    sentences; a table row or a sentence that is longer stays whole."""
-    if len(text) <= budget:
-        return [text] if text.strip() else []
-
-    def pack(parts: list[str], joint: str, deeper: Callable[[str], list[str]] | None) -> list[str]:
-        out, now = [], ""
-        for p in parts:
-            if deeper and len(p) > budget:
-                if now:
-                    out.append(now)
-                    now = ""
-                out += deeper(p)
-            elif now and len(now) + len(joint) + len(p) > budget:
-                out.append(now)
-                now = p
-            else:
-                now = now + joint + p if now else p
-        return [*out, now] if now else out
-
-    def by_sentence(line: str) -> list[str]:
-        return [line] if line.lstrip().startswith("|") else pack(re.split(r"(?<=[。！？.!?])", line), "", None)
-
-    def by_line(paragraph: str) -> list[str]:
-        return pack(paragraph.split("\n"), "\n", by_sentence)
-
-    return pack(re.split(r"\n{2,}", text), "\n\n", by_line)
+    """Chunks of about ``budget`` characters. Pieces are added to the running chunk, which closes before one
+    that would exceed the budget; a piece that is longer by itself goes in by its own pieces, so paragraphs
+    are cut at lines and lines at sentences, but for table rows. A text without content is one empty chunk."""
+    out: list[str] = []
+    now: list[str] = []
+
+    def add(piece: str, finer: tuple[str, ...]) -> None:
+        if sum(map(len, now)) + len(piece) > budget and (done := "".join(now).strip()):
+            out.append(done)
+            now.clear()
+        if len(piece) > budget and finer and not (len(finer) == 1 and piece.lstrip().startswith("|")):
+            for part in filter(None, re.split(finer[0], piece)):
+                add(part, finer[1:])
+        else:
+            now[:] = ["".join(now), piece]
+
+    for block in filter(None, re.split(CUTS[0], CONTROL.sub("", re.sub(r"\r\n?", "\n", text)))):
+        add(block, CUTS[1:])
+    if last := "".join(now).strip():
+        out.append(last)
+    return out or [""]
 
 
 def chunks(docs: DataFrame, budget: int = 12_000, key: str = "doc_id") -> DataFrame:
@@ -93,43 +92,62 @@ def chunks(docs: DataFrame, budget: int = 12_000, key: str = "doc_id") -> DataFr
 
 
 def batches(items: DataFrame, by: str, order: list[str], size: Column, budget: int, most: int) -> DataFrame:
-    """``items`` with batch: in order, a batch closes when the next item would exceed ``budget`` or ``most``.
+    """by, order, size, batch: in order, a batch closes when the next item would exceed ``budget`` or ``most``.
 
-    The fold runs inside each group of ``by``, a document or a sheet, over sizes alone.
+    Each group of ``by``, a document or a sheet, streams by in order; a task remembers one batch's totals.
     """
-    rows = items.withColumn("_s", size.cast("long"))
-    own = F.array_sort(F.collect_list(F.struct(*order, "_s")))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("b"), F.array().cast("array<bigint>").alias("out"))
+    rows = items.select(by, *order, size.cast("long").alias("size"))
+    at = len(order) + 1
 
-    def add(a: Column, x: Column) -> Column:
-        close = (a["n"] > 0) & ((a["n"] >= most) | (a["t"] + x["_s"] > budget))
-        b = F.when(close, a["b"] + 1).otherwise(a["b"])
-        n = F.when(close, F.lit(1).cast("long")).otherwise(a["n"] + 1)
-        t = F.when(close, x["_s"]).otherwise(a["t"] + x["_s"])
-        return F.struct(n.alias("n"), t.alias("t"), b.alias("b"), F.concat(a["out"], F.array(b)).alias("out"))
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, begun, n, total, batch = None, False, 0, 0, 0
+        for b in found:
+            out = []
+            for g, s in zip(b.column(0).to_pylist(), b.column(at).to_pylist(), strict=True):
+                if not begun or g != now:
+                    now, begun, n, total, batch = g, True, 0, 0, 0
+                if n and (n >= most or total + s > budget):
+                    n, total, batch = 0, 0, batch + 1
+                n, total = n + 1, total + s
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], names=[*b.schema.names, "batch"])
 
-    folded = rows.groupBy(by).agg(own.alias("own")).select(by, "own", F.aggregate("own", start, add)["out"].alias("b"))
-    return folded.select(by, F.explode(F.arrays_zip("own", "b")).alias("z")).select(by, *[F.col(f"z.own.{c}").alias(c) for c in order], F.col("z.own._s").alias("size"), F.col("z.b").alias("batch"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", batch long"
+    return rows.repartition(by).sortWithinPartitions(by, *order, "size").mapInArrow(run, schema)
 
 
-def header_columns(words: DataFrame, gap: float = 8.0, overlap: float = -2.0) -> DataFrame:
+def header_columns(words: DataFrame, gap: float = 8.0, boxes: DataFrame | None = None) -> DataFrame:
     """page, col, left, right, header: words of a header (page, x0, x1, text) clustered where the gap to all
-    words before is at most ``gap``; midpoints between clusters are the borders."""
+    words before is at most ``gap``; midpoints between clusters are the borders, the outer ones those of the
+    table (boxes: page, x0, x1) or open. Clusters without a letter or digit go; a header of fewer than two
+    words or clusters is none."""
     w = Window.partitionBy("page").orderBy("x0", "x1", "text")
     reach = F.max("x1").over(w.rowsBetween(Window.unboundedPreceding, -1))
     col = F.sum(F.when(F.col("x0") - F.col("_reach") > gap, 1).otherwise(0)).over(w)
-    parts = words.withColumn("_reach", reach).withColumn("col", col)
-    cols = parts.groupBy("page", "col").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda t: t["text"]), " ").alias("header"))
-    v = Window.partitionBy("page").orderBy("col")
-    left = F.coalesce((F.lag("x1").over(v) + F.col("x0")) / 2, F.lit(float("-inf")))
-    right = F.coalesce((F.col("x1") + F.lead("x0").over(v)) / 2, F.lit(float("inf")))
-    return cols.select("page", F.col("col").cast("int").alias("col"), left.alias("left"), right.alias("right"), "header")
+    parts = words.withColumn("_reach", reach).withColumn("col", col).withColumn("_words", F.count("*").over(Window.partitionBy("page"))).filter("_words > 1")
+    own = F.array_sort(F.collect_list(F.struct("x0", "x1", "text")))
+    start = F.struct(F.lit("").alias("t"), F.lit(None).cast("double").alias("x"))
+
+    def add(a: Column, word: Column) -> Column:
+        apart = (word["x0"] - a["x"] > 2.5) & a["t"].rlike("[A-Za-z0-9]$") & word["text"].rlike("^[A-Za-z0-9]")
+        return F.struct(F.concat(a["t"], F.when(apart, " ").otherwise(""), word["text"]).alias("t"), word["x1"].cast("double").alias("x"))
+
+    cols = parts.groupBy("page", "col").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.aggregate(own, start, add)["t"].alias("header"))
+    v = Window.partitionBy("page").orderBy("x0")
+    cols = cols.filter(F.col("header").rlike("[A-Za-z0-9一-鿿]")).withColumn("_n", F.count("*").over(Window.partitionBy("page"))).filter("_n > 1")
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    if boxes is not None:
+        cols = cols.join(boxes.select("page", F.col("x0").alias("_low"), F.col("x1").alias("_high")), "page", "left")
+        low, high = F.coalesce("_low", low), F.coalesce("_high", high)
+    left = F.coalesce((F.lag("x1").over(v) + F.col("x0")) / 2, low)
+    right = F.coalesce((F.col("x1") + F.lead("x0").over(v)) / 2, high)
+    return cols.select("page", (F.row_number().over(v) - 1).cast("int").alias("col"), left.alias("left"), right.alias("right"), "header")
 
 
 def band_words(words: DataFrame, columns: DataFrame) -> DataFrame:
     """words with the column whose band holds their centre."""
     x = (F.col("x0") + F.col("x1")) / 2
-    return words.join(F.broadcast(columns.select(F.col("page").alias("_p"), "col", "left", "right")), (F.col("page") == F.col("_p")) & (x >= F.col("left")) & (x < F.col("right"))).drop("_p", "left", "right")
+    return words.join(columns.select(F.col("page").alias("_p"), "col", "left", "right"), (F.col("page") == F.col("_p")) & (x >= F.col("left")) & (x < F.col("right"))).drop("_p", "left", "right")
 
 
 def merge_words(words: DataFrame, keys: list[str], drop: float = 3.0, gap: float = 2.5) -> DataFrame:
