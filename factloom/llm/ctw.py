@@ -14,7 +14,8 @@ Texts are lower-cased (A-Z), preceded by ``DEPTH`` zero bytes and closed by one.
 smoothed word unigram; its word counts join per-document frequencies, the most frequent ones at once.
 
 Defined cases: a null or empty text is its end alone; a null id counts as empty for the split; repeated
-rows count and are scored row by row; without training texts all bytes have probability 1/256; an empty
+rows count and are scored row by row, equal texts alike; a very long text is one piece of about 8 bytes a
+byte and a few copies of that; without training texts all bytes have probability 1/256; an empty
 table gives an empty table; other columns are ignored.
 """
 

@@ -5,8 +5,8 @@ many shingles in a document gets a 64-bit SimHash. A window whose fingerprint is
 item's differs by at most ``RADIUS // BLOCKS`` bits in one of ``BLOCKS`` blocks. Per size and block the items
 are sorted by their block's value, and a window looks up all values that near to its own, which finds all such
 pairs. Those are verified exactly: the weighted Jaccard similarity, a shingle's weight being how often it
-occurs, must be 0.8 or more. Windows of which too few shingles stand in any item to reach that similarity
-aren't fingerprinted, so the cost follows the candidates.
+occurs, must be 0.8 or more. Windows of which too few shingles stand in items of their size to reach that
+similarity aren't fingerprinted, so the cost follows the candidates.
 
 Items are sent to the tasks in blocks of about ``ITEM_SHINGLES`` shingles; each block goes over all
 documents, so any number of items works; of several, a block's result is written before the next begins.
@@ -87,7 +87,15 @@ class Items:
             values = [block_of(prints, b) for b in range(BLOCKS)]
             orders = [np.argsort(v, kind="stable") for v in values]
             self.sizes[key] = (np.array(own), prints, [(o, v[o]) for o, v in zip(orders, values, strict=True)])
-        self.shingles = {k: np.unique(np.concatenate([self.runs[i] for s, own in groups.items() if s[0] == k for i in own])) for k in {s[0] for s in groups}}
+        #: words of a shingle -> the sizes, the items' shingles, and of each the sizes that have it
+        self.shingles = {}
+        for k in {s[0] for s in groups}:
+            keys = [s for s in groups if s[0] == k]
+            every = [np.unique(np.concatenate([self.runs[i] for i in groups[s]])) for s in keys]
+            flat, which = np.concatenate(every), np.repeat(np.arange(len(keys)), [len(x) for x in every])
+            order = np.lexsort((which, flat))
+            known, first = np.unique(flat[order], return_index=True)
+            self.shingles[k] = (keys, known, np.append(first, len(flat)), which[order])
         self.counts = [dict(zip(*(x.tolist() for x in np.unique(r, return_counts=True)), strict=True)) for r in self.runs]
 
     def near(self, key: tuple[int, int], found: np.ndarray) -> np.ndarray:
@@ -111,19 +119,26 @@ class Items:
     def leaks(self, text: str | None, least: float) -> Iterator[tuple]:
         """(item id, first word, words, similarity, distance) of the best window for each leaking item."""
         words = word_hashes(words_of(text))
-        for k, known in self.shingles.items():
+        for k, (keys, known, first, which) in self.shingles.items():
             if len(words) < k:
                 continue
             run = shingle_hashes(words, k)
             at = np.minimum(np.searchsorted(known, run), len(known) - 1)
-            inside = np.cumsum(np.r_[0, known[at] == run])
-            if not inside[-1]:
+            places = np.flatnonzero(known[at] == run)
+            if not len(places):
                 continue
-            for key, (own, prints, _) in self.sizes.items():
-                if key[0] != k:
-                    continue
+            counts = first[at[places] + 1] - first[at[places]]
+            group = which[np.repeat(first[at[places]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+            places = np.repeat(places, counts)
+            for g in np.unique(group).tolist():
+                key = keys[g]
+                own, prints, _ = self.sizes[key]
                 size = min(key[1], len(run))
                 enough = least * (size + key[1]) / (1 + least) - 1e-9
+                mine = places[group == g]
+                if len(mine) < enough:
+                    continue
+                inside = np.r_[0, np.cumsum(np.bincount(mine, minlength=len(run)))]
                 may = np.flatnonzero(inside[size:] - inside[:-size] >= enough)
                 if not len(may):
                     continue

@@ -13,7 +13,8 @@ of a class, by document id and place, stays.
    verified by banded bit-parallel edit distance. Regions over ``LEAF`` characters are dealt out in
    blocks whose pairs join apart, which loses no pair.
 
-Defined cases: lines without a word are neither compared nor dropped; a null or empty text has none;
+Defined cases: lines without a word are neither compared nor dropped; a null or empty text has none; a very
+long line is compared as a whole, its probes are some twenty however long it is;
 rows that repeat both id and text are one document and get the same result; rows without an id come
 last when the first of a class is chosen; an empty table gives an empty table; other columns, whatever
 their names, are ignored by ``line_classes`` and returned by ``dedup_lines``.

@@ -4,8 +4,9 @@ Every rule bounds a ratio of counts that one ``select`` computes from the text;
 parameter. A document is kept when no base rule fails and every ratio lies within its bounds.
 
 Defined cases: a null or empty text has no words, all counts 0, and fails the base rule; null ids and
-repeated rows are judged row by row; an empty table gives an empty table; other columns are ignored by
-``quality_report`` and returned unchanged by ``keep_good``.
+repeated rows are judged row by row, and a ratio that equals its bound passes; a very long text is counted
+as a whole, in arrays of a few times its size; an empty table gives an empty table; other columns are
+ignored by ``quality_report`` and returned unchanged by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ class Rule:
     slack: int = 0
 
 
-#: The ten most frequent function words of the languages in the corpus, in natural order.
+#: The most frequent function words of the languages in the corpus.
 STOP_WORDS = {
     "en": "the of and to in is that it with for a as on are this be by from",
     "fr": "de la le et les des en un une du que est pour qui par dans sur",

@@ -92,6 +92,31 @@ def test_orc_tokens(spark, docs, empty):
     assert orc_tokens.token_digest(spark, orc_tokens.write_tokens(empty, scratch_path(spark, "t"), tokenizer(WORDS))).count() == 0
 
 
+def test_orc_files(spark, tmp_path):
+    """Files have several stripes, row indexes and Bloom filters, ascending ids, and prune what a look-up misses."""
+    from pyarrow import orc
+
+    docs = spark.range(6000).select((F.col("id") * 3).alias("doc_id"), F.concat(F.lit("the text of document "), F.col("id").cast("string")).alias("text"))
+    path = orc_tokens.write_tokens(docs, f"file://{tmp_path}/t", tokenizer(WORDS))
+    files = sorted(tmp_path.glob("t/*.orc"))
+    low = []
+    for f in files:
+        told = orc.ORCFile(f)
+        assert told.nrows > 0 and told.nstripes >= 1 and told.row_index_stride == orc_tokens.ROW_STRIDE
+        ids = told.read(["doc_id"]).column(0).to_pylist()
+        assert ids == sorted(ids)
+        low += [ids[0], ids[-1]]
+        plain = 4 * sum(map(len, told.read(["ids"]).column(0).to_pylist()))
+        assert f.stat().st_size < plain  # ids take less than four bytes each
+    assert low == sorted(low)
+    plan = orc_tokens.look_up(spark, path, [30])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(doc_id" in plan or "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id" in plan or "EqualTo(doc_id,30)" in plan
+    assert orc_tokens.look_up(spark, path, [30]).count() == 1 and orc_tokens.look_up(spark, path, [31]).count() == 0
+    bloom = spark._jvm.org.apache.orc.OrcFile.createReader(spark._jvm.org.apache.hadoop.fs.Path(f"file://{files[0]}"), spark._jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    kinds = {s.getKind().toString() for i in range(1) for s in bloom.rows().readStripeFooter(bloom.getStripes().get(0)).getStreamsList()}
+    assert "ROW_INDEX" in kinds and any(k.startswith("BLOOM_FILTER") for k in kinds)
+
+
 @pytest.mark.parametrize("head", [0, 5, 400_000])
 def test_token_counts(docs, empty, head):
     want = sorted(((r["doc_id"], len((r["text"] or "").encode()), n := len(ids_of(BYTES, r["text"])), n > 512) for r in docs.collect()), key=str)
