@@ -33,7 +33,7 @@ TRAIN_ROWS = 20_000
 #: Labelled documents that a feature needs to be weighed.
 LEAST_DOCS = 5
 #: Standard errors by which a feature's log odds must differ.
-LEAST_Z = 3.0
+LEAST_Z = 3.5
 GRADES = 3
 
 #: ASCII characters that aren't letters or digits part words.
@@ -117,7 +117,7 @@ def held_words(sample: DataFrame, words: np.ndarray) -> tuple[list[np.ndarray],
     return [flat[a:z] for a, z in zip(ends, ends[1:], strict=False)], found.column(0).to_numpy()
 
 
-def fit(rows: list[np.ndarray], grade: np.ndarray, size: int, grades: int = GRADES, rounds: int = 600, rate: float = 0.1, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(rows: list[np.ndarray], grade: np.ndarray, size: int, grades: int = GRADES, rounds: int = 400, rate: float = 0.1, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray] | None:
     """(weights, thresholds) of the largest penalised likelihood, by Adam; none without two grades or
     features. rows: the places of each document's features, below ``size``."""
     if len(np.unique(grade > 0)) < 2 or not size:
