@@ -82,23 +82,29 @@ def release() -> None:
         pass
 
 
-def return_large() -> None:
-    """Let the C library map arrays over 256 KB one by one, so that each goes back when it is freed, and
-    keep one heap instead of one for each thread."""
+#: Arrays of more bytes are mapped one by one; by default and where a task makes many large ones in a row.
+MAPPED, MAPPED_MOST = 256 << 10, 32 << 20
+
+
+def return_large(mapped: int = MAPPED) -> None:
+    """Let the C library map arrays over ``mapped`` bytes one by one, so that each goes back when it is
+    freed, and keep one heap instead of one for each thread. Fewer are mapped, and less of the heap is
+    given back before the task's end, where that would cost more than it saves."""
     try:
         libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 256 << 10)  # M_MMAP_THRESHOLD
+        libc.mallopt(-3, mapped)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 8 * mapped)  # M_TRIM_THRESHOLD
         libc.mallopt(-8, 1)  # M_ARENA_MAX
     except (AttributeError, OSError):  # another C library
         pass
 
 
-def lean(run):
+def lean(run, mapped: int = MAPPED):
     """``run`` for mapInArrow, which leaves a small worker behind: workers outlive their tasks, beside
     the executor's own memory."""
 
     def wrapped(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return_large()
+        return_large(mapped)
         yield from run(found)
         release()
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, lean, small_batches, texts_of
+from factloom.llm.common import MAPPED_MOST, cut, lean, small_batches, texts_of
 
 DEPTH = 5
 #: Frequent grams that every task holds, 32 bytes each; the others are joined.
@@ -75,7 +75,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield told()
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([ends], pa.int64())], names=["word", "c"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "word binary, c long")
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run, MAPPED_MOST), "word binary, c long")
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -131,7 +131,7 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
     """gram, n, m: how often training texts and all texts have it."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = (np.zeros(0, np.int64),) * 3
+        parts: list[tuple[np.ndarray, ...]] = []  # sorted grams and their counts, merged when they are many
         for b in found:
             texts, out = texts_of(b), [held_out(i) for i in b.column(0).to_pylist()]
             for a, z in groups_of(texts, CHUNK):
@@ -139,21 +139,25 @@ def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
                 lengths = np.diff(np.append(starts, len(key)))
                 train = np.repeat(~np.array(out[a:z], bool), lengths)
                 grams, at = np.unique(key, return_inverse=True)
-                sums = added(sums, (grams, np.bincount(at, train, len(grams)), np.bincount(at, minlength=len(grams))))
-                if len(sums[0]) > 2 * GATHER:
-                    yield told(*sums)
-                    sums = tuple(x[:0] for x in sums)
-        if len(sums[0]):
-            yield told(*sums)
+                parts.append((grams, np.bincount(at, train, len(grams)).astype(np.int64), np.bincount(at, minlength=len(grams))))
+                if sum(len(x[0]) for x in parts) > 4 * GATHER:
+                    parts = [merged(parts)]
+                    if len(parts[0][0]) > 2 * GATHER:
+                        yield told(*parts.pop())
+        if parts:
+            yield told(*merged(parts))
 
     def told(grams: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n), pa.array(m)], names=["gram", "n", "m"])
 
-    def added(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
-        keys, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
-        return keys, *(np.bincount(at, np.concatenate([x, y]), len(keys)).astype(np.int64) for x, y in zip(a[1:], b[1:], strict=True))
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        keys, n, m = map(np.concatenate, zip(*parts, strict=True))
+        order = np.argsort(keys, kind="stable")  # runs that are sorted already
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return keys[first], np.add.reduceat(n[order], first), np.add.reduceat(m[order], first)
 
-    rows = docs.select("doc_id", "text").mapInArrow(lean(run), "gram long, n long, m long")
+    rows = docs.select("doc_id", "text").mapInArrow(lean(run, MAPPED_MOST), "gram long, n long, m long")
     return rows.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
@@ -240,7 +244,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
 
     above: list[tuple[np.ndarray, np.ndarray]] = []
     if top:
-        sums = dealt.mapInArrow(lean(parents), "node long, zeros double, ones double, children double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
+        sums = dealt.mapInArrow(lean(parents, MAPPED_MOST), "node long, zeros double, ones double, children double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
         node, zeros, ones, children = (c.to_numpy() for c in sums.toArrow().columns)  # at most 255 x 256 ** (top - 1)
         for d in range(top - 1, -1, -1):
             own = log_kt(zeros, ones)
@@ -257,7 +261,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
         if len(keys):
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(m), pa.array(weighted_log10(keys, n, depth, top, shared.value))], names=["gram", "m", "score"])
 
-    return dealt.mapInArrow(lean(scores), "gram long, m long, score double")
+    return dealt.mapInArrow(lean(scores, MAPPED_MOST), "gram long, m long, score double")
 
 
 class Table:
@@ -366,7 +370,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, most: int = GRAMS, head: in
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "tail", "lost"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<word:binary,k:int>>, lost array<struct<gram:long,k:long>>"
-    rows = cut(docs.select("doc_id", "text").mapInArrow(lean(run), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    rows = cut(docs.select("doc_id", "text").mapInArrow(lean(run, MAPPED_MOST), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(step_of("c") < least)
     c = F.coalesce(F.col("c"), F.lit(0))
     tails = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.k").join(rare, "word", "left")
