@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.common import bitmap_of, boxed, cut, lean, long_list, may_hold, shingle_hashes, small_batches, texts_of, unboxed, word_hashes, words_of
-from factloom.llm.components import connected_components
+from factloom.llm.components import Forest, connected_components
 
 #: Shingles of a region that one task joins: 8 bytes each, a few copies.
 LEAF = 4_000_000
@@ -54,6 +54,10 @@ TOGETHER = 64
 DENSE = 512
 #: Pairs that are compared at once.
 TRIED = 20_000
+#: Shingles that are looked up among those of the pivots at once.
+LOOKED_UP = 200_000
+#: Words of 64 shingles each that all pairs of a dense set are compared by first; words of bits held at once.
+NARROW, BITS = 16, 8 << 20
 
 
 def linked(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -274,17 +278,27 @@ class Region:
         return self.flat[self.starts[i] : self.starts[i] + self.n[i]]
 
     def common(self, pivots: list[np.ndarray], members: np.ndarray) -> np.ndarray:
-        """Intersection sizes, members by pivots, by one look-up in the pivots' merged shingles."""
-        lengths = self.n[members]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(self.starts[members], lengths)
-        return overlaps(self.flat[at], np.repeat(np.arange(len(members)), lengths), len(members), pivots)
+        """Intersection sizes, members by pivots, by one look-up in the pivots' merged shingles; some
+        members at a time, as every shingle stands in memory once for each pivot that holds it."""
+        out = []
+        for own in np.split(members, np.flatnonzero(np.diff(np.cumsum(self.n[members]) // LOOKED_UP)) + 1):
+            lengths = self.n[own]
+            ends = np.cumsum(lengths)
+            at = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(self.starts[own], lengths)
+            out.append(overlaps(self.flat[at], np.repeat(np.arange(len(own)), lengths), len(own), pivots))
+        return np.concatenate(out)
 
     def merge(self, pairs: np.ndarray) -> None:
-        for a, b in pairs.tolist():
-            a, b = self.root[a], self.root[b]
-            if a != b:
-                self.root[self.root == max(a, b)] = min(a, b)
+        ends = self.root[pairs]
+        ends = ends[ends[:, 0] != ends[:, 1]]
+        forest = Forest()
+        for both in np.unique(ends[:, 0] * len(self.root) + ends[:, 1]).tolist():
+            forest.union(*divmod(both, len(self.root)))
+        if forest.up:
+            to = np.arange(len(self.root))
+            for x in forest.up:
+                to[x] = forest.find(x)
+            self.root = to[self.root]
 
 
 def overlaps(flat: np.ndarray, who: np.ndarray, n: int, pivots: list[np.ndarray]) -> np.ndarray:
@@ -341,7 +355,7 @@ def join_region(sets: list[np.ndarray], most: int = PIVOTS, dense: int = DENSE)
         elif len(members) <= dense:
             todo.append(members)
         else:
-            by_prefix(region, members, most)
+            by_prefix(region, members)
     return region.root
 
 
@@ -365,10 +379,10 @@ def pivot_step(region: Region, members: np.ndarray, most: int) -> tuple[np.ndarr
     return left, distances(c, n, m)[left]
 
 
-def by_prefix(region: Region, members: np.ndarray, most: int) -> None:
+def by_prefix(region: Region, members: np.ndarray) -> None:
     """Points that no pivot tells apart: they meet under the first shingles in the order of how many of
-    them hold each. Pairs under rare ones are compared if their common ones can suffice; the points under
-    a frequent one take turns as pivots."""
+    them hold each. Pairs under rare ones are compared if their common ones can suffice; of the points under
+    a frequent one all pairs are, and all pairs at once where the frequent ones would make as many."""
     n = region.n[members]
     who = np.repeat(np.arange(len(members)), n)
     flat = np.concatenate([region.set_of(i) for i in members])
@@ -383,10 +397,11 @@ def by_prefix(region: Region, members: np.ndarray, most: int) -> None:
     group = np.cumsum(np.r_[True, shingle[1:] != shingle[:-1]]) - 1
     counts = np.bincount(group)
     hot = counts[group] > TOGETHER
-    for g in np.unique(group[hot]):
-        ours = members[point[group == g]]
-        while (d := pivot_step(region, ours, most)) is not None:
-            ours = ours[d[0]]
+    if (counts[counts > TOGETHER] ** 2).sum() >= len(members) ** 2:
+        return by_bits(region, members)
+    ends = np.cumsum(counts)
+    for g in np.flatnonzero(counts > TOGETHER):
+        by_bits(region, members[point[ends[g] - counts[g] : ends[g]]])
     prefixes = np.bincount(point, minlength=len(members))
     point, group = point[~hot], group[~hot]
     found = []
@@ -416,6 +431,69 @@ def by_prefix(region: Region, members: np.ndarray, most: int) -> None:
         pairs = pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]]
 
 
+def by_bits(region: Region, members: np.ndarray) -> None:
+    """Link all pairs of the members; each is compared once, and only while its points aren't connected.
+
+    The shingles that most of them hold are bits: ``NARROW`` words of these, and how many other shared
+    shingles a point has, rule out most pairs. The rest is counted by all words and, of what stands in none,
+    by the shingles themselves. Points of the largest component only take part as partners of others.
+    """
+    members = members[np.argsort(region.n[members], kind="stable")]
+    n, size = region.n[members], len(members)
+    who = np.repeat(np.arange(size), n)
+    _, ids, df = np.unique(np.concatenate([region.set_of(i) for i in members]), return_inverse=True, return_counts=True)
+    place = np.empty(len(df), np.int64)
+    place[np.argsort(-df, kind="stable")] = np.arange(len(df))
+    shared = df[ids] > 1
+    width = min(-(-int((df > 1).sum()) // 64), max(NARROW, BITS // size))
+    bits = np.zeros((width, size), np.uint64)
+    at = place[ids]
+    held = shared & (at < 64 * width)
+    np.bitwise_or.at(bits.reshape(-1), (at[held] >> 6) * size + who[held], np.uint64(1) << (at[held] & 63).astype(np.uint64))
+    beyond = np.bincount(who[shared & ~held], minlength=size)
+    rest = np.bincount(who[shared & (at >= 64 * NARROW)], minlength=size)
+    starts, some = np.cumsum(n) - n, max(1, min(TRIED, (1 << 20) // max(width, 1)))
+
+    def settled(pairs: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Link the pairs that have enough in common; those whose points aren't connected then."""
+        region.merge(members[pairs[linked(c, n[pairs[:, 0]], n[pairs[:, 1]])]])
+        ends = region.root[members[pairs]]
+        return pairs[ends[:, 0] != ends[:, 1]], c[ends[:, 0] != ends[:, 1]]
+
+    roots = region.root[members]
+    values, counts = np.unique(roots, return_counts=True)
+    inside = int(np.argmax(roots == values[counts.argmax()]))
+    left = np.ones(size, bool)  # points whose turn hasn't come
+    turns = np.flatnonzero(roots != roots[inside])
+    while len(turns):
+        block = turns[: max(1, (1 << 18) // size)]
+        turns = turns[len(block) :]
+        roots = region.root[members]
+        block = block[roots[block] != roots[inside]]
+        if not len(block):
+            continue
+        low, high = np.searchsorted(100 * n, 80 * n[block[0]]), np.searchsorted(80 * n, 100 * n[block[-1]], "right")
+        others = low + np.flatnonzero(left[low:high])
+        left[block] = False
+        c = np.zeros((len(block), len(others)), np.int64)
+        for w in bits[:NARROW]:
+            c += np.bitwise_count(w[block][:, None] & w[others][None, :])
+        most = 180 * (c + np.minimum(rest[block][:, None], rest[others][None, :]))
+        i, j = np.nonzero((most >= 80 * (n[block][:, None] + n[others][None, :])) & (roots[block][:, None] != roots[others][None, :]))
+        pairs, c = np.stack([block[i], others[j]], 1), c[i, j]
+        pairs, c = settled(pairs, c)
+        while len(pairs) and rest.any():
+            now, both, pairs, c = pairs[:some], c[:some], pairs[some:], c[some:]
+            both = both + np.bitwise_count(bits[NARROW:, now[:, 0]] & bits[NARROW:, now[:, 1]]).sum(0, dtype=np.int64)
+            now, both = settled(now, both)
+            now = now[180 * (both + beyond[now].min(1)) >= 80 * n[now].sum(1)]
+            if len(now) and beyond.any():
+                settled(now, pair_overlaps(ids, starts, n, now))
+            still = region.root[members[pairs]]
+            still = still[:, 0] != still[:, 1]
+            pairs, c = pairs[still], c[still]
+
+
 def pair_overlaps(ids: np.ndarray, starts: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """How many numbers both points of each pair hold; a point's are ascending."""
 

@@ -273,6 +273,51 @@ def test_regions_join_exactly(seed):
         assert metric_join.join_region(sets, most, dense).tolist() == [find(i) for i in range(len(sets))]
 
 
+def near_copies(seed, count, edits, size=200):
+    """Sets of one base, of which each misses up to ``edits`` values and has others instead, some of them shared."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(count):
+        k = rng.integers(0, edits)
+        base = rng.permutation(size)[k:]
+        out.append(np.unique(np.r_[base, 1000 + rng.integers(0, rng.choice([40, 100_000]), k)]).astype(np.int64))
+    return out
+
+
+def linked_roots(sets):
+    held = np.zeros((len(sets), max(s.max() for s in sets) + 1), np.float32)
+    for row, s in zip(held, sets, strict=True):
+        row[s] = 1
+    both, n = held @ held.T, held.sum(1)
+    near, root = 100 * both >= 80 * (n[:, None] + n[None, :] - both), np.arange(len(sets))
+    while ((low := np.where(near, root[None, :], len(sets)).min(1)) != root).any():
+        root = low
+    return root.tolist()
+
+
+@pytest.mark.parametrize("narrow, words", [(16, 8 << 20), (1, 0), (1, 1200), (2, 8 << 20)])
+def test_near_copies_join_exactly(narrow, words, monkeypatch):
+    monkeypatch.setattr(metric_join, "NARROW", narrow)
+    monkeypatch.setattr(metric_join, "BITS", words)
+    apart = [s + 500_000 for s in near_copies(8, 40, 70, 120)]
+    for sets in (near_copies(7, 300, 60), near_copies(9, 250, 90) + apart, [*apart, *(s[:90] for s in apart)]):
+        assert metric_join.join_region(sets, 16, 50).tolist() == linked_roots(sets)
+        region = metric_join.Region(sets)
+        metric_join.by_bits(region, np.arange(len(sets)))
+        assert region.root.tolist() == linked_roots(sets)
+
+
+def test_near_copies_are_compared_once(monkeypatch):
+    """Near copies of one text beyond ``DENSE``, of which many have no link: each pair is looked at once, not
+    again under every shingle that all of them hold."""
+    sets, made = near_copies(3, 600, 80), []
+    common = metric_join.Region.common
+    monkeypatch.setattr(metric_join.Region, "common", lambda self, pivots, members: made.append(len(pivots) * len(members)) or common(self, pivots, members))
+    root = metric_join.join_region(sets)
+    assert root.tolist() == linked_roots(sets) and 50 < len(set(root.tolist())) < 550
+    assert sum(made) <= len(sets) ** 2
+
+
 def test_keep_one(docs, empty):
     got = pairs(metric_join.keep_one(docs), "doc_id", "text")
     assert got.count((5, PASSAGE)) == 1 and (6, PASSAGE) not in got and got.count((3, "two words")) == 1 and (None, "one") not in got
